@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def utf8(column: pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each holds at most SLICE_BYTES of text, or one row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(text)).to_pylist() if batch.num_rows else []
+        sizes = pc.binary_length(batch.column(text)).to_pylist() if batch.num_rows else []
         begin = total = 0
         for i, n in enumerate(sizes):
             if total and total + (n or 0) > SLICE_BYTES:
