@@ -45,6 +45,15 @@ class Stored:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of one id column that are broadcast at most (16 MB); larger ones are joined by shuffling.
+SMALL_ROWS = 1_000_000
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """A broadcast hint where the counted rows allow it."""
+    return F.broadcast(ids) if ids.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else ids
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     return Stored(df, tag).df
 

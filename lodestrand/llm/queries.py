@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, licenses, media, packing, quality, secrets
+from . import bpe, langid, licenses, linededup, media, neardup, packing, quality, secrets
 
 PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -34,6 +34,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(documents(spark, sf_dir))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(documents(spark, sf_dir))
 
@@ -43,8 +47,12 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_licenses, op4_packing, op5_byte_bpe, op6_quality, op8_media, op9_language)}
+    return {f.__name__: f for f in (op1_secrets, op2_licenses, op4_packing, op5_byte_bpe, op6_quality, op7_line_dedup, op8_media, op9_language, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
