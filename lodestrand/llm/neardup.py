@@ -57,24 +57,29 @@ def signature(elements: np.ndarray, weights: np.ndarray | None = None, k: int =
     width = np.where(layer == 0, 1.0, low)
     seed = _mixed(elements[item] + _MIX * (layer.astype(np.uint64) + np.uint64(1)))
     bound = (np.log(k) + 2) / w.sum()
-    while True:
-        best, dart = np.full(k, np.inf), np.zeros(k, np.uint64)
-        rank, live, m = np.zeros(len(item)), np.arange(len(item)), np.uint64(0)
-        while len(live):
-            m += np.uint64(1)
-            h = _mixed(seed[live] + _MIX * m)
-            rank[live] -= np.log(_unit(h)) / (k * width[live])
-            keep = rank[live] <= bound
-            live, h = live[keep], h[keep]
-            at = _mixed(h ^ _MIX)
-            hit = low[live] + width[live] * _unit(_mixed(at ^ _MIX)) <= w[item[live]]
-            place, r, name = (at[hit] % np.uint64(k)).astype(np.int64), rank[live[hit]], h[hit]
-            np.minimum.at(best, place, r)
-            first = r == best[place]
-            dart[place[first]] = name[first]
-        if np.isfinite(best).all():
-            return dart
-        bound *= 2
+    with np.errstate(over="ignore"):
+        while True:
+            best, dart = np.full(k, np.inf), np.zeros(k, np.uint64)
+            live, rank, done = np.arange(len(item)), np.zeros(len(item)), 0
+            while len(live):
+                # a block of arrivals for every live stream, about as many as fall below the bound
+                block = int(max(2, min(1.1 * k * bound * width[live].max() + 4, 1 + 2_000_000 // len(live))))
+                m = np.arange(done + 1, done + block + 1, dtype=np.uint64)
+                h = _mixed(seed[live][:, None] + _MIX * m)
+                ranks = rank[:, None] - np.cumsum(np.log(_unit(h)), 1) / (k * width[live][:, None])
+                i, j = np.nonzero(ranks <= bound)
+                name, r, of = h[i, j], ranks[i, j], live[i]
+                at = _mixed(name ^ _MIX)
+                hit = low[of] + width[of] * _unit(_mixed(at ^ _MIX)) <= w[item[of]]
+                place, r, name = (at[hit] % np.uint64(k)).astype(np.int64), r[hit], name[hit]
+                np.minimum.at(best, place, r)
+                first = r == best[place]
+                dart[place[first]] = name[first]
+                more = ranks[:, -1] <= bound
+                live, rank, done = live[more], ranks[more, -1], done + block
+            if np.isfinite(best).all():
+                return dart
+            bound *= 2
 
 
 _CACHE: dict[bytes, int] = {}
@@ -100,8 +105,9 @@ def shingles(words: list[bytes], size: int = WORDS) -> np.ndarray:
     h = word_hashes(words)
     n = max(1, len(h) - size + 1)
     out = np.zeros(n, np.uint64)
-    for j in range(min(size, len(h))):
-        out = _mixed(out * _MIX + h[j : j + n] + np.uint64(1))
+    with np.errstate(over="ignore"):
+        for j in range(min(size, len(h))):
+            out = _mixed(out * _MIX + h[j : j + n] + np.uint64(1))
     return np.unique(out)
 
 
