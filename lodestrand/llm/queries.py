@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, licenses, linededup, media, neardup, packing, quality, secrets
+from . import bpe, langid, licenses, linededup, lm, media, neardup, packing, quality, secrets
 
 PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -21,6 +21,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summaries(documents(spark, sf_dir))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).select(PIECE_COLUMNS)
 
@@ -52,7 +56,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_licenses, op4_packing, op5_byte_bpe, op6_quality, op7_line_dedup, op8_media, op9_language, op10_near_duplicates)}
+    return {f.__name__: f for f in (op1_secrets, op2_licenses, op3_lm_scores, op4_packing, op5_byte_bpe, op6_quality, op7_line_dedup, op8_media, op9_language, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
