@@ -60,16 +60,24 @@ def tokens(normal: Column) -> Column:
     return F.filter(F.array_distinct(F.split(normal, " ")), lambda x: x != "")
 
 
+_ASTRAL = r"[\x{10000}-\x{10FFFF}]"
+
+
 def utf16_length(c: Column) -> Column:
     """Length in UTF-16 units: characters beyond the basic plane count as two."""
-    return F.length(c) + F.regexp_count(c, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+    return F.length(c) + F.regexp_count(c, F.lit(_ASTRAL))
 
 
 def utf16_head(c: Column, n: int) -> Column:
     """The first n UTF-16 units; half a pair at the cut is left out."""
     short = F.substring(c, 1, n)
-    cut = F.decode(F.substring(F.encode(short, "UTF-16BE"), 1, 2 * n), "UTF-16BE")
-    return F.when(short.rlike(r"[\x{10000}-\x{10FFFF}]"), F.rtrim(F.regexp_replace(cut, r"\x{FFFD}\z", ""))).otherwise(short)
+
+    def step(acc: Column, x: Column) -> Column:
+        units = acc["units"] + F.when(x == "", 0).when(x.rlike(_ASTRAL), 2).otherwise(1)
+        return F.struct(units.alias("units"), (acc["fit"] + F.when((x != "") & (units <= n), 1).otherwise(0)).alias("fit"))
+
+    fit = F.aggregate(F.split(short, ""), F.struct(F.lit(0).alias("units"), F.lit(0).alias("fit")), step)["fit"]
+    return F.when(short.rlike(_ASTRAL), F.substring(short, F.lit(1), fit)).otherwise(short)
 
 
 def excerpt(plain: Column, length: int = 280) -> Column:
