@@ -104,10 +104,10 @@ def parse(pages: DataFrame, html: str = "html", base: str = "base", limit: int =
     )
 
 
-def to_review(notices: DataFrame) -> DataFrame:
-    """The rows of the review queue. scadenza_origine is ``campo`` where the field has text, even if the instant came from the prose."""
+def to_review(notices: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of the review queue, and the columns named in ``beside``. scadenza_origine is ``campo`` where the field has text, even if the instant came from the prose."""
     return notices.select(
-        "titolo", "url", "repertorio", "descrizione", iso_day(date_of(F.col("data_emissione"))).alias("data_emissione"), F.col("scadenza").alias("scadenza_testo"), iso_instant(F.col("scadenza_il")).alias("scadenza_il"),
+        *beside, "titolo", "url", "repertorio", "descrizione", iso_day(date_of(F.col("data_emissione"))).alias("data_emissione"), F.col("scadenza").alias("scadenza_testo"), iso_instant(F.col("scadenza_il")).alias("scadenza_il"),
         F.when(F.col("scadenza_il").isNotNull(), F.when(F.col("scadenza").isNotNull(), "campo").otherwise("prosa")).alias("scadenza_origine"), "scaduto", "allegati",
     )
 
