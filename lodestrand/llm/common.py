@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 #: Bytes of text that the Python side of an operator holds decoded at once.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 6 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:

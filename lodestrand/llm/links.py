@@ -1,10 +1,11 @@
 """From band keys to connected classes: candidate pairs that grow with the rows, not with the square of a group.
 
-In every bucket (nodes that share a band key) each node is paired with two leaders of the bucket and with the two nodes
-before it, which covers all pairs of buckets of up to five. The verified pairs give classes. Buckets that still hold
-nodes of different classes then have all their pairs across classes verified, so no candidate pair whose ends lie in
-different classes stays untested: the classes are the connected components of the whole candidate graph, without
-listing it.
+In every bucket (nodes that share a band key) each node is paired with the bucket's leader and with the two nodes before
+it, which covers all pairs of buckets of up to four. The order is by how many nodes a node meets in all its buckets: among
+the variants of a text those with the fewest edits meet most, and they are similar to most others. The verified pairs give classes. In buckets that still hold
+nodes of different classes, pairs across classes are verified, all that an operator can't rule out by a bound. So no
+candidate pair whose ends lie in different classes stays undecided: the classes are the connected components of the whole
+candidate graph, without listing it.
 """
 
 from __future__ import annotations
@@ -15,21 +16,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Stored, components
+from .common import Stored, components, small
 
 #: Nodes of a bucket whose order one task sorts; larger buckets are cut by a hash of the node.
 PER_RUN = 4096
-#: The largest bucket of which leaders and predecessors make all pairs.
-COMPLETE = 5
+#: The largest bucket of which the leader and the predecessors make all pairs.
+COMPLETE = 4
 #: Pairs that one copy of a node's data serves in the verifying join; nodes with more pairs are copied.
 PER_COPY = 256
 
 
 def _pairs(members: DataFrame) -> DataFrame:
-    """(a, b), a < b: every node of a bucket with its leaders and predecessors. members: bucket, node, turn, size_of, low, high."""
-    w = W.partitionBy("bucket", "run").orderBy("turn", "node")
+    """(a, b), a < b: every node of a bucket with its leader and predecessors. members: bucket, node, met, size_of, leader."""
+    w = W.partitionBy("bucket", "run").orderBy(F.desc("met"), "node")
     runs = members.withColumn("run", F.pmod(F.xxhash64("node"), F.floor((F.col("size_of") - 1) / PER_RUN) + 1))
-    others = runs.select("node", F.array("low", "high", F.lag("node", 1).over(w), F.lag("node", 2).over(w)).alias("others"))
+    others = runs.select("node", F.array("leader", F.lag("node", 1).over(w), F.lag("node", 2).over(w)).alias("others"))
     each = others.select("node", F.explode(F.array_distinct(F.filter("others", lambda x: x.isNotNull()))).alias("other")).where("node != other")
     return each.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
@@ -52,30 +53,45 @@ def attach(pairs: DataFrame, data: DataFrame, columns: list[str]) -> DataFrame:
     return pairs
 
 
-def classes(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], kind: str = "binary") -> tuple[DataFrame, DataFrame]:
-    """(node, component) for every node with a verified link, and the verified links (a, b).
+def classes(rows: DataFrame, verify: Callable[[DataFrame], Stored], kind: str = "binary", narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(node, component) for every node with a verified link.
 
-    rows: bucket (long), node (of type ``kind``), each pair of them once. verify takes pairs (a, b) and returns those
-    that hold. Null buckets or nodes are no candidates.
+    rows: bucket (long), node (of type ``kind``); a pair of them may repeat. verify takes pairs (a, b) and stores those
+    that hold. Null buckets or nodes are no candidates. ``narrow`` takes the nodes of buckets with several classes (bucket,
+    node, component, leader, lead: the leader's component) and names the pairs of different classes that can hold, given
+    that all pairs with the leader were verified; without it the nodes outside the bucket's largest class are verified
+    against all of the bucket.
     """
-    turned = rows.select("bucket", "node").where("bucket is not null and node is not null").withColumn("turn", F.xxhash64("bucket", "node"))
-    at = F.struct("turn", "node")
-    shared = turned.groupBy("bucket").agg(F.count("*").alias("size_of"), F.min(at)["node"].alias("low"), F.max(at)["node"].alias("high")).where("size_of > 1")
-    members = Stored(turned.join(shared, "bucket"), "buckets")
-    links = Stored(verify(_pairs(members.df)).select("a", "b"), "links")
+    found = rows.select("bucket", "node").where("bucket is not null and node is not null").withColumn("h", F.xxhash64("node"))
+    # most buckets hold one node: whether one holds two shows in the least and greatest hash, without moving the nodes
+    several = Stored(found.groupBy("bucket").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least != most").select("bucket"), "shared-buckets")
+    each = Stored(found.join(small(several.df), "bucket").select("bucket", "node").distinct(), "bucket-nodes")
+    several.drop()
+    sizes = each.df.groupBy("bucket").agg(F.count("*").alias("size_of")).where("size_of > 1")
+    sized = Stored(each.df.join(sizes, "bucket"), "sized-buckets")
+    each.drop()
+    met = Stored(sized.df.join(sized.df.groupBy("node").agg(F.sum("size_of").alias("met")), "node"), "met-buckets")
+    sized.drop()
+    leaders = met.df.groupBy("bucket").agg(F.min(F.struct((-F.col("met")).alias("met"), "node"))["node"].alias("leader"))
+    members = Stored(met.df.join(leaders, "bucket"), "buckets")
+    met.drop()
+    links = verify(_pairs(members.df))
     first = components(links.df, "a", "b", kind)
-    # second look: buckets with several classes; the nodes outside the bucket's largest class against all of the bucket
-    labelled = members.df.where(F.col("size_of") > COMPLETE).select("bucket", "node").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    several = parts.groupBy("bucket").agg(F.count("*").alias("k"), F.max(F.struct("n", "component"))["component"].alias("largest")).where("k > 1")
-    mixed = Stored(labelled.join(several.select("bucket", "largest"), "bucket"), "mixed")
-    rest = mixed.df.where("component != largest").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
-    across = rest.join(mixed.df.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy")), "bucket").where("cx != cy")
-    untested = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(links.df, ["a", "b"], "left_anti")
+    # second look: buckets with several classes
+    labelled = members.df.where(F.col("size_of") > COMPLETE).select("bucket", "node", "leader").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.max(F.col("node") == F.col("leader")).alias("leads"))
+    split = parts.groupBy("bucket").agg(F.count("*").alias("k"), F.max(F.struct("n", "component"))["component"].alias("largest"), F.max(F.when(F.col("leads"), F.col("component"))).alias("lead")).where("k > 1")
+    mixed = Stored(labelled.join(split.select("bucket", "largest", "lead"), "bucket"), "mixed")
+    members.drop()
     if not mixed.df.limit(1).count():
-        return first, links.df
-    more = Stored(verify(untested).select("a", "b"), "more-links")
+        return first
+    more = verify((narrow or _across)(mixed.df).join(links.df, ["a", "b"], "left_anti"))
     if not more.df.limit(1).count():
-        return first, links.df
-    every = links.df.unionByName(more.df)
-    return components(every, "a", "b", kind), every
+        return first
+    return components(links.df.unionByName(more.df), "a", "b", kind)
+
+
+def _across(mixed: DataFrame) -> DataFrame:
+    rest = mixed.where("component != largest").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
+    both = rest.join(mixed.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy")), "bucket").where("cx != cy")
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -9,7 +9,7 @@ shingles it has. Coordinates in bands make bucket keys; candidate pairs are veri
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -24,6 +24,8 @@ WORDS = 5
 SIMILARITY = 0.8
 #: BANDS bands of ROWS coordinates: a pair at similarity 0.8 shares a band with probability 1 - 5e-5.
 BANDS, ROWS = 25, 5
+#: Cells in which the frequency of shingles is counted where it orders them.
+CELLS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -174,6 +176,71 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return attach(pairs, sets, ["shingles"]).withColumn("similarity", jaccard("a_shingles", "b_shingles")).where(F.col("similarity") >= least).select("a", "b", "similarity")
 
 
+def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes in a bucket that can be similar, by their differences from its leader.
+
+    Let F be the shingles that only one of a set and the leader's has, s their number, n the set's size. The sets x and y
+    differ in the shingles in which their F differ, and they are similar only if these number at most r (nx + ny), with
+    r = (1 - least) / (1 + least). So with sy <= sx they share t = (sx + sy - r (nx + ny)) / 2 shingles of F at least, and
+    one of the first s - t + 1 of each under any common order. A node outside the leader's class is not similar to the
+    leader, so its s is over r (n + n of the leader), which makes t large. The order is by rarity, counted in cells: most
+    edits are rare, so the variants of one text meet only where they share an edit.
+    """
+    rows = mixed.select(F.col("leader").alias("a"), F.col("node").alias("b"), "component", (F.col("component") != F.col("lead")).alias("rest")).distinct().where("a != b")
+    sets = sets_of(mixed.select("node"))
+    r = (1 - least) / (1 + least)
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, n, m = [], [], []
+            for lead, x, y in zip(batch.column("a").to_pylist(), batch.column("a_shingles").to_pylist(), batch.column("b_shingles").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                salt = np.frombuffer(lead[:8].ljust(8), np.uint64)
+                out.append(_mixed(np.setxor1d(x, y, assume_unique=True) ^ salt).tobytes())
+                n.append(len(y)), m.append(len(x))
+            yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("component"), batch.column("rest"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(out, pa.binary())], ["node", "component", "rest", "n", "m", "diff"])
+
+    diffs = Stored(attach(rows, sets.df, ["shingles"]).select("a", "b", "component", "rest", "a_shingles", "b_shingles").mapInArrow(differ, "node binary, component binary, rest boolean, n long, m long, diff binary"), "differences")
+    sets.drop()
+    cells = lambda x: (x % np.uint64(CELLS)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for x in batch.column("diff").to_pylist():
+                np.add.at(total, cells(np.frombuffer(x, np.uint64)), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["cell", "n"])
+
+    got = diffs.df.select("diff").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
+    often = np.zeros(CELLS, np.int64)
+    often[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    shared = mixed.sparkSession.sparkContext.broadcast(often)
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, far, near = [], [], []
+            for x, n, m, rest in zip(*(batch.column(c).to_pylist() for c in ("diff", "n", "m", "rest")), strict=True):
+                x = np.frombuffer(x, np.uint64)
+                s, x = len(x), x[np.lexsort((x, shared.value[cells(x)]))].view(np.int64)
+                both = r * (n + n / least)
+                t = max(1, np.ceil(s - both - 1e-9))  # as the one with more differences
+                u = max(1, np.ceil(s - both / 2 - 1e-9), np.ceil((s + r * (m - n * (1 / least if rest else 1))) / 2 - 1e-9))  # as the other
+                size.append(s), far.append(x[: max(0, int(s - t + 1))]), near.append(x[: max(0, int(s - u + 1))])
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "component", "rest", "n")), pa.array(size, pa.int64()), pa.array(far, kind), pa.array(near, kind)], ["node", "component", "rest", "n", "s", "far", "near"])
+
+    found = Stored(diffs.df.mapInArrow(heads, "node binary, component binary, rest boolean, n long, s long, far array<long>, near array<long>"), "heads")
+    diffs.drop()
+    one = lambda use, side: found.df.select(F.explode(use).alias("shingle"), *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "n", "s")])
+    can = (
+        "component_x != component_y and (rest_x or rest_y) and s_y <= s_x "
+        f"and least(n_x, n_y) >= {least} * greatest(n_x, n_y) - 1e-9 and s_x - s_y <= {r} * (n_x + n_y) + 1e-9"
+    )
+    both = one("far", "x").join(one("near", "y"), "shingle").where(can)
+    return both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
 def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row for each document: doc_id, class_id (least doc_id of its class), class_size (rows), kept.
 
@@ -187,12 +254,17 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     nodes = Stored(signed.df.where("digest is not null").groupBy(F.col("digest").alias("node")).agg(F.min("doc_id").alias("any_id"), F.count("*").alias("rows"), F.first("bands").alias("bands")), "nodes")
     buckets = nodes.df.select(F.explode("bands").alias("bucket"), "node")
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def sets_of(wanted: DataFrame) -> Stored:
+        return Stored(_shingle_sets(docs, wanted.distinct().join(nodes.df.select("node", "any_id"), "node")), "shingles")
+
+    def verify(pairs: DataFrame) -> Stored:
         held = Stored(pairs, "pairs")
-        wanted = held.df.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.df.select("node", "any_id"), "node")
-        return _similar(held.df, Stored(_shingle_sets(docs, wanted), "shingles").df, least)
+        sets = sets_of(held.df.select(F.explode(F.array("a", "b")).alias("node")))
+        out = Stored(_similar(held.df, sets.df, least).select("a", "b"), "links")
+        held.drop(), sets.drop()
+        return out
 
-    found, _ = classes(buckets, verify)
+    found = classes(buckets, verify, narrow=lambda mixed: _by_leader(mixed, sets_of, least))
     of = nodes.df.select("node", "any_id", "rows").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = of.groupBy("component").agg(F.min("any_id").alias("class_id"), F.sum("rows").alias("class_size"))
     label = Stored(of.join(sizes, "component").select(F.col("node").alias("digest"), "class_id", "class_size"), "classes")
