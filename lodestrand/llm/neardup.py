@@ -232,8 +232,10 @@ def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least:
 
     found = Stored(diffs.df.mapInArrow(heads, "node binary, component binary, rest boolean, n long, s long, far array<long>, near array<long>"), "heads")
     diffs.drop()
-    one = lambda use, side: found.df.select(F.explode(use).alias("shingle"), *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "n", "s")])
+    one = lambda use, side: found.df.select(F.posexplode(use).alias(f"at_{side}", "shingle"), *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "n", "s")])
+    t = f"greatest(1, ceil((s_x + s_y - {r} * (n_x + n_y)) / 2 - 1e-9))"
     can = (
+        f"at_x <= s_x - {t} and at_y <= s_y - {t} and "
         "component_x != component_y and (rest_x or rest_y) and s_y <= s_x "
         f"and least(n_x, n_y) >= {least} * greatest(n_x, n_y) - 1e-9 and s_x - s_y <= {r} * (n_x + n_y) + 1e-9"
     )
