@@ -41,7 +41,10 @@ def _where(text: Column, pattern: str) -> Column:
 
 def battery(run: Column) -> Column:
     """struct<n, k, p_random, p_text> of one run of key characters; k is 0 where no encoding fits."""
-    body = F.regexp_replace(run, "=+$", "")
+    return bound(F.regexp_replace(run, "=+$", ""), _battery)
+
+
+def _battery(body: Column) -> Column:
     mixed = body.rlike("[0-9]") & body.rlike("[A-Za-z]")
     k = (
         F.when(mixed & (body.rlike("^[0-9a-f]+$") | body.rlike("^[0-9A-F]+$")), 16)
@@ -49,9 +52,11 @@ def battery(run: Column) -> Column:
         .when(mixed & body.rlike("[a-z]") & body.rlike("[A-Z]"), 64)
         .otherwise(0)
     )
-    alphabet = F.when(k == 16, F.when(body.rlike("[a-f]"), _B16).otherwise(_B16U)).when(k == 32, _B32).otherwise(_B64)
-    plain = F.translate(body, "-_", "+/")
-    head = F.struct(k.alias("k"), plain.alias("b"), F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.instr(alphabet, c) - 1).alias("v"))
+    alphabet = lambda x: F.when(x["k"] == 16, F.when(x["b"].rlike("[a-f]"), _B16).otherwise(_B16U)).when(x["k"] == 32, _B32).otherwise(_B64)
+    # every step is bound, so that nothing that looks at the whole run is done again for each of its characters
+    values = lambda x: F.transform(F.filter(F.split(x["b"], ""), lambda c: c != ""), lambda c: F.instr(x["a"], c) - 1)
+    named = bound(F.struct(k.alias("k"), F.translate(body, "-_", "+/").alias("b")), lambda x: F.struct(x["k"].alias("k"), x["b"].alias("b"), alphabet(x).alias("a")))
+    head = bound(named, lambda x: F.struct(x["k"].alias("k"), x["b"].alias("b"), F.when(x["k"] > 0, values(x)).otherwise(F.array().cast("array<int>")).alias("v")))
 
     def sums(h: Column) -> Column:
         n, k, v = F.size(h["v"]).cast("double"), h["k"].cast("double"), h["v"]
