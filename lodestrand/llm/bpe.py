@@ -260,7 +260,7 @@ class LibraryEncoder(Encoder):
         out: list[bytes] = [b""] * len(chunks)
         run: list[int] = []
         for i, c in enumerate(chunks):
-            if c[:1] == b" " and len(c) > 1 and c[1:2] not in _EDGES and c[-1:] not in _EDGES and not (c[1] > 127 or c[-1] > 127) and len(c) < 200:
+            if 1 < len(c) < 200 and c[0] == 32 and c[1] not in _UNSURE and c[-1:] not in _EDGES and (c[-1] < 128 or c[-2] != 0xC2 and c[-3] not in _UNSURE):
                 run.append(i)  # begins and ends a cut of the pattern wherever it stands
             else:
                 out[i] = np.array(self.own.encode_ordinary(c.decode()), "<u4").tobytes()
@@ -277,6 +277,8 @@ class LibraryEncoder(Encoder):
 #: White space beside a space, and the first bytes of white space outside ASCII: such texts are cut by the pattern.
 _BESIDE = [b"  ", *(x for w in b"\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f" for x in (bytes([w, 32]), bytes([32, w]))), b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 _EDGES = {bytes([w]) for w in b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"}
+#: First bytes of white space, ASCII or not.
+_UNSURE = {*b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f", 0xC2, 0xE1, 0xE2, 0xE3}
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
