@@ -143,3 +143,16 @@ def test_op10(spark, sf, docs):
     assert {d: g.class_id for d, g in got.items()} == want
     size = Counter(want.values())
     assert all(g.class_size == size[g.class_id] and g.kept == (g.class_id == d) for d, g in got.items())
+
+
+def test_op3_beats_unigrams(spark, sf, docs):
+    """On held-out documents the model is better than smoothed counts of single subword ids."""
+    from lodestrand.llm import bpe
+
+    own = bpe.encoder(bpe.vocabulary(), bpe.default_pattern(), bpe.LibraryEncoder)
+    ids = dict(zip(docs, own.encode([b" " + b" ".join((r.text or "").encode().lower().split()) for r in docs.values()]), strict=True))
+    n = np.bincount(np.concatenate([x for d, x in ids.items() if not brute.held_out(d, 7)]), minlength=50257) + 0.5
+    got = by_id(queries.op3_lm_scores(spark, sf))
+    out = [d for d in docs if brute.held_out(d, 7)]
+    single = sum(np.log10(n / n.sum())[ids[d]].sum() for d in out)
+    assert sum(got[d].score for d in out) > 0.9 * single  # log probabilities: closer to 0 is better
