@@ -164,14 +164,14 @@ def passage_split(spark, d):
 @query("""
 WITH o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders)
 SELECT o_custkey AS dedup_key, (n - 1 + 1)::INTEGER AS ordine, 'Art. ' || n || CASE WHEN o_orderkey % 2 = 0 THEN ' (Rubrica ' || o_orderkey || ')' ELSE '' END AS etichetta, 'Comma ' || o_orderkey || ' unito in riga.' AS testo FROM o
-UNION ALL SELECT DISTINCT o_custkey, 0, 'Preambolo', 'Noi Capitani Reggenti' FROM orders""")
+UNION ALL SELECT DISTINCT o_custkey, 0, 'Preambolo', 'Noi Consiglio Riunito' FROM orders""")
 def act_passages(spark, d):
     from pyspark.sql import Window as W
 
     o = table(spark, d, "orders").withColumn("n", F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")))
     art = F.concat(F.lit("Art. "), "n", F.lit("\n\n"), F.when(F.expr("o_orderkey % 2 = 0"), F.concat(F.lit("(Rubrica "), "o_orderkey", F.lit(")\n"))).otherwise(""), F.lit("Comma "), "o_orderkey", F.lit("  unito\nin riga.\n- 3 -\n\n\n"))
     text = o.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", art.alias("t")))), lambda x: x["t"]), "").alias("t"))
-    acts = text.select(F.col("o_custkey").alias("dedup_key"), F.lit("Legge").alias("titolo"), F.concat(F.lit("Noi Capitani\r\nReggenti\n\n\n\n" + " " * 80), "t").alias("testo"))
+    acts = text.select(F.col("o_custkey").alias("dedup_key"), F.lit("Legge").alias("titolo"), F.concat(F.lit("Noi Consiglio\r\nRiunito\n\n\n\n" + " " * 80), "t").alias("testo"))
     return passages.act_passages(acts)
 
 

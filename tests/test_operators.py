@@ -86,7 +86,7 @@ def test_rotation_reaches_all(spark):
     assert seen == [{0, 1}, {2, 3}, {4, 5}, {0, 1}]
 
 
-ACT = """Noi Capitani Reggenti
+ACT = """Noi Consiglio Riunito
 visto il decreto
 
 Art. 1
@@ -107,7 +107,7 @@ Tabella
 def test_passages():
     got = [(p["ordine"], p["etichetta"], p["testo"]) for p in passages.split(ACT.strip())]
     assert got == [
-        (0, "Preambolo", "Noi Capitani Reggenti visto il decreto"), (1, "Art. 1 (Finalità)", "La presente legge ha un fine."),
+        (0, "Preambolo", "Noi Consiglio Riunito visto il decreto"), (1, "Art. 1 (Finalità)", "La presente legge ha un fine."),
         (2, "Art. 2", "Il comma dice quanto previsto dall' Articolo 5 della legge citata."), (3, "Art. 3-bis", "Testo."), (4, "Allegato A", "Allegato A Tabella"),
     ]
     assert passages.split("Solo testo") == [{"ordine": 0, "etichetta": None, "testo": "Solo testo"}]
