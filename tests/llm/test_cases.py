@@ -151,6 +151,25 @@ def test_scores(odd):
     assert lm.score(odd.limit(0)).count() == 0
 
 
+def test_long_words_are_scored_by_their_ids(spark):
+    """A word over 64 bytes costs what its own ids cost, so one of 6000 bytes more than one of 66; its ids are learned."""
+    rows = [(1, "ab" * 33), (3, "ab" * 3000), (5, "a few words"), (7, "ab" * 33 + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score(docs).collect()}
+    assert got[3].score < 5 * got[1].score < 0
+    assert [got[i].n_tokens for i in (1, 3, 5, 7)] == [2, 2, 4, 3] and got[1].n_known == 2
+    path, pattern = lm.vocabulary(), lm.default_pattern()
+    counts = lm.id_counts(lm.word_counts(docs, path, pattern), path, pattern)
+    own = lm.encoder(path, pattern, lm.LibraryEncoder)
+    want = np.zeros(lm.END_ID + 1)
+    for doc, text in rows:
+        if not lm.held_out(doc):
+            for w in text.split():
+                want += np.bincount(np.frombuffer(own.encode_chunks([b" " + w.encode()])[0], "<u4"), minlength=len(want))
+    got_ids = counts.sum(0)
+    assert (got_ids[: lm.END_ID] == want[: lm.END_ID]).all()
+
+
 def test_windows_do_not_see_across_texts():
     counts = np.ones((lm.BYTES, lm.END_ID + 1))
     m = lm.Attention(counts)
