@@ -25,6 +25,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if spark.sparkContext.applicationId not in _OWN:
         _OWN[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="lodestrand-")
     return _OWN[spark.sparkContext.applicationId]
@@ -39,19 +41,26 @@ class Stored:
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
+    def _files(self):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def bytes(self) -> int:
+        files, path = self._files()
+        return files.getContentSummary(path).getLength()
+
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = self._files()
+        files.delete(path, True)
 
 
-#: Rows of one id column that are broadcast at most (16 MB); larger ones are joined by shuffling.
-SMALL_ROWS = 1_000_000
+#: Bytes of a stored table (compressed) that are broadcast at most; larger ones are joined by shuffling.
+SMALL_BYTES = 4 << 20
 
 
-def small(ids: DataFrame) -> DataFrame:
-    """A broadcast hint where the counted rows allow it."""
-    return F.broadcast(ids) if ids.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else ids
+def small(table: Stored) -> DataFrame:
+    """The stored table, with a broadcast hint where its measured files are small."""
+    return F.broadcast(table.df) if table.bytes() <= SMALL_BYTES else table.df
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
@@ -64,6 +73,12 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(kind).to_pylist()]
 
 
+def parts(column: pa.Array) -> Iterator[pa.Array]:
+    """Cuts an Arrow column of texts as slices() cuts batches."""
+    for piece in slices(iter([pa.RecordBatch.from_arrays([column], ["text"])])):
+        yield piece.column(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each holds at most SLICE_BYTES of text, or one row."""
     for batch in batches:

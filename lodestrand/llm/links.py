@@ -1,11 +1,14 @@
-"""From band keys to connected classes: candidate pairs that grow with the rows, not with the square of a group.
+"""From bucket keys to connected classes: candidate pairs that grow with the rows, not with the square of a group.
 
-In every bucket (nodes that share a band key) each node is paired with the bucket's leader and with the two nodes before
+In every bucket (nodes that share a key) each node is paired with the bucket's leader and with the two nodes before
 it, which covers all pairs of buckets of up to four. The order is by how many nodes a node meets in all its buckets: among
-the variants of a text those with the fewest edits meet most, and they are similar to most others. The verified pairs give classes. In buckets that still hold
-nodes of different classes, pairs across classes are verified, all that an operator can't rule out by a bound. So no
-candidate pair whose ends lie in different classes stays undecided: the classes are the connected components of the whole
-candidate graph, without listing it.
+the variants of a text those with the fewest edits meet most, and they are similar to most others. The verified pairs give
+classes. A larger bucket that still holds nodes of different classes (lines that share a phrase or a passage and nothing
+else) is dealt anew: either the operator names the pairs that can hold by bounds, or it gives each node keys of what
+distinguishes it from the leader, and the nodes that share such a key make a bucket of the next level. What is left after
+DEPTH levels is compared in full. No bucket has a cap.
+
+Nodes are numbered once, among those that share a bucket, so that joins and labels work on longs.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ PER_RUN = 4096
 COMPLETE = 4
 #: Pairs that one copy of a node's data serves in the verifying join; nodes with more pairs are copied.
 PER_COPY = 256
+#: Levels of buckets; after the last, nodes of different classes in a bucket are compared in full.
+DEPTH = 4
 
 
 def _pairs(members: DataFrame) -> DataFrame:
@@ -53,42 +58,90 @@ def attach(pairs: DataFrame, data: DataFrame, columns: list[str]) -> DataFrame:
     return pairs
 
 
-def classes(rows: DataFrame, verify: Callable[[DataFrame], Stored], kind: str = "binary", narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """(node, component) for every node with a verified link.
-
-    rows: bucket (long), node (of type ``kind``); a pair of them may repeat. verify takes pairs (a, b) and stores those
-    that hold. Null buckets or nodes are no candidates. ``narrow`` takes the nodes of buckets with several classes (bucket,
-    node, component, leader, lead: the leader's component) and names the pairs of different classes that can hold, given
-    that all pairs with the leader were verified; without it the nodes outside the bucket's largest class are verified
-    against all of the bucket.
-    """
-    found = rows.select("bucket", "node").where("bucket is not null and node is not null").withColumn("h", F.xxhash64("node"))
+def _numbered(rows: DataFrame) -> tuple[Stored, DataFrame]:
+    """Names (id, node, doc) of the nodes that share a bucket, and their rows (bucket, node: the id)."""
+    found = rows.select("bucket", "node", "doc").where("bucket is not null and node is not null").withColumn("h", F.xxhash64("node"))
     # most buckets hold one node: whether one holds two shows in the least and greatest hash, without moving the nodes
     several = Stored(found.groupBy("bucket").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least != most").select("bucket"), "shared-buckets")
-    each = Stored(found.join(small(several.df), "bucket").select("bucket", "node").distinct(), "bucket-nodes")
+    shared = Stored(found.join(small(several), "bucket").select("bucket", "node", "doc"), "shared-rows")
     several.drop()
+    names = Stored(shared.df.groupBy("node").agg(F.min("doc").alias("doc")).withColumn("id", F.monotonically_increasing_id()), "names")
+    return names, shared.df.join(small(names), "node").select("bucket", F.col("id").alias("node"))
+
+
+def _members(rows: DataFrame) -> Stored:
+    """bucket, node, size_of, met, leader of the buckets with two nodes or more. Rows may repeat."""
+    each = Stored(rows.select("bucket", "node").distinct(), "bucket-nodes")
     sizes = each.df.groupBy("bucket").agg(F.count("*").alias("size_of")).where("size_of > 1")
-    sized = Stored(each.df.join(sizes, "bucket"), "sized-buckets")
+    sized = each.df.join(sizes, "bucket")
+    met = Stored(sized.join(sized.groupBy("node").agg(F.sum("size_of").alias("met")), "node"), "met-buckets")
     each.drop()
-    met = Stored(sized.df.join(sized.df.groupBy("node").agg(F.sum("size_of").alias("met")), "node"), "met-buckets")
-    sized.drop()
-    leaders = met.df.groupBy("bucket").agg(F.min(F.struct((-F.col("met")).alias("met"), "node"))["node"].alias("leader"))
+    order = F.least("met", F.lit(1 << 22)) * -(1 << 40) + F.pmod(F.xxhash64("node"), F.lit(1 << 40))
+    leaders = met.df.groupBy("bucket").agg(F.min_by("node", order).alias("leader"))
     members = Stored(met.df.join(leaders, "bucket"), "buckets")
     met.drop()
-    links = verify(_pairs(members.df))
-    first = components(links.df, "a", "b", kind)
-    # second look: buckets with several classes
-    labelled = members.df.where(F.col("size_of") > COMPLETE).select("bucket", "node", "leader").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.max(F.col("node") == F.col("leader")).alias("leads"))
-    split = parts.groupBy("bucket").agg(F.count("*").alias("k"), F.max(F.struct("n", "component"))["component"].alias("largest"), F.max(F.when(F.col("leads"), F.col("component"))).alias("lead")).where("k > 1")
-    mixed = Stored(labelled.join(split.select("bucket", "largest", "lead"), "bucket"), "mixed")
-    members.drop()
-    if not mixed.df.limit(1).count():
-        return first
-    more = verify((narrow or _across)(mixed.df).join(links.df, ["a", "b"], "left_anti"))
-    if not more.df.limit(1).count():
-        return first
-    return components(links.df.unionByName(more.df), "a", "b", kind)
+    return members
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> Stored:
+    """The nodes of large buckets with several classes: bucket, node, component, leader, largest, lead (component of the leader)."""
+    large = members.where(F.col("size_of") > COMPLETE).select("bucket", "node", "leader")
+    labelled = Stored(large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
+    parts = labelled.df.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.max(F.col("node") == F.col("leader")).alias("leads"))
+    split = parts.groupBy("bucket").agg(F.count("*").alias("k"), F.max_by("component", "n").alias("largest"), F.max(F.when(F.col("leads"), F.col("component"))).alias("lead")).where("k > 1")
+    out = Stored(labelled.df.join(split.select("bucket", "largest", "lead"), "bucket"), "mixed")
+    labelled.drop()
+    return out
+
+
+def classes(
+    rows: DataFrame,
+    verify: Callable[[DataFrame, DataFrame], Stored],
+    narrow: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    refine: Callable[[DataFrame, DataFrame], Stored] | None = None,
+) -> DataFrame:
+    """(node, component) for every node with a verified link; component is a number.
+
+    rows: bucket (long), node (binary), doc (a row that holds the node); they may repeat. verify takes pairs (a, b) of
+    numbers and the names (id, node, doc), and stores those that hold. Null buckets or nodes are no candidates. ``narrow``
+    takes the nodes of buckets with several classes (bucket, node, component, leader, lead: the leader's component) and
+    names the pairs of different classes that can hold, given that all pairs with the leader were verified. ``refine``
+    takes the same nodes and stores (bucket, node) of the next level. Without either, and after DEPTH levels, the nodes
+    outside the bucket's largest class are verified against all of the bucket.
+    """
+    names, own = _numbered(rows)
+    tested: list[DataFrame] = []
+    links: list[DataFrame] = []
+
+    def look(pairs: DataFrame) -> None:
+        for seen in tested:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        held = Stored(pairs, "candidates")
+        tested.append(held.df)
+        links.append(verify(held.df, names.df).df)
+
+    def labels() -> DataFrame:
+        every = links[0]
+        for x in links[1:]:
+            every = every.unionByName(x)
+        return components(every, "a", "b", "long")
+
+    found = None
+    for level in range(1, DEPTH + 1):
+        members = _members(own)
+        look(_pairs(members.df))
+        found = labels()
+        mixed = _mixed(members.df, found)
+        members.drop()
+        if not mixed.df.limit(1).count():
+            break
+        if narrow or not refine or level == DEPTH:
+            look((narrow(mixed.df, names.df) if narrow else _across(mixed.df)))
+            found = labels()
+            break
+        own = refine(mixed.df, names.df).df
+        mixed.drop()
+    return found.join(names.df.select(F.col("id").alias("node"), F.col("node").alias("name")), "node").select(F.col("name").alias("node"), "component")
 
 
 def _across(mixed: DataFrame) -> DataFrame:

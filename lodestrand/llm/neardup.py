@@ -145,19 +145,19 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, shingles (sorted 64-bit) of one text for each wanted digest."""
+    """node, shingles (sorted 64-bit) of one text for each wanted node (node, name: its digest, doc)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = [words_of(t) for t in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([_digest(w) for w in words], pa.binary()), pa.array([shingles(w).tobytes() for w in words], pa.binary())], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array([_digest(w) for w in words], pa.binary()), pa.array([shingles(w).tobytes() for w in words], pa.binary())], ["name", "shingles"])
 
     # one document of each wanted digest: found by doc_id, so that only these texts move
-    ids = wanted.select("any_id").distinct()
+    ids = Stored(wanted.select("doc").distinct(), "wanted-documents")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(small(ids), texts["doc_id"].eqNullSafe(ids["any_id"]), "left_semi")
-    sets = texts.select("text").mapInArrow(run, "node binary, shingles binary")
-    return sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    texts = texts.join(small(ids), texts["doc_id"].eqNullSafe(ids.df["doc"]), "left_semi")
+    sets = texts.select("text").mapInArrow(run, "name binary, shingles binary")
+    return sets.join(wanted.select("node", "name"), "name").select("node", "shingles").dropDuplicates(["node"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -191,16 +191,16 @@ def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least:
     r = (1 - least) / (1 + least)
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "b_shingles"):
             out, n, m = [], [], []
-            for lead, x, y in zip(batch.column("a").to_pylist(), batch.column("a_shingles").to_pylist(), batch.column("b_shingles").to_pylist(), strict=True):
+            salts = _mixed(batch.column("a").to_numpy().view(np.uint64) + _MIX)
+            for salt, x, y in zip(salts, batch.column("a_shingles").to_pylist(), batch.column("b_shingles").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                salt = np.frombuffer(lead[:8].ljust(8), np.uint64)
                 out.append(_mixed(np.setxor1d(x, y, assume_unique=True) ^ salt).tobytes())
                 n.append(len(y)), m.append(len(x))
             yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("component"), batch.column("rest"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(out, pa.binary())], ["node", "component", "rest", "n", "m", "diff"])
 
-    diffs = Stored(attach(rows, sets.df, ["shingles"]).select("a", "b", "component", "rest", "a_shingles", "b_shingles").mapInArrow(differ, "node binary, component binary, rest boolean, n long, m long, diff binary"), "differences")
+    diffs = Stored(attach(rows, sets.df, ["shingles"]).select("a", "b", "component", "rest", "a_shingles", "b_shingles").mapInArrow(differ, "node long, component long, rest boolean, n long, m long, diff binary"), "differences")
     sets.drop()
     cells = lambda x: (x % np.uint64(CELLS)).astype(np.int64)
 
@@ -218,7 +218,7 @@ def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least:
     shared = mixed.sparkSession.sparkContext.broadcast(often)
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "diff"):
             size, far, near = [], [], []
             for x, n, m, rest in zip(*(batch.column(c).to_pylist() for c in ("diff", "n", "m", "rest")), strict=True):
                 x = np.frombuffer(x, np.uint64)
@@ -230,7 +230,7 @@ def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least:
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "component", "rest", "n")), pa.array(size, pa.int64()), pa.array(far, kind), pa.array(near, kind)], ["node", "component", "rest", "n", "s", "far", "near"])
 
-    found = Stored(diffs.df.mapInArrow(heads, "node binary, component binary, rest boolean, n long, s long, far array<long>, near array<long>"), "heads")
+    found = Stored(diffs.df.mapInArrow(heads, "node long, component long, rest boolean, n long, s long, far array<long>, near array<long>"), "heads")
     diffs.drop()
     one = lambda use, side: found.df.select(F.posexplode(use).alias(f"at_{side}", "shingle"), *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "rest", "n", "s")])
     t = f"greatest(1, ceil((s_x + s_y - {r} * (n_x + n_y)) / 2 - 1e-9))"
@@ -253,23 +253,26 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     result; other columns are not read.
     """
     signed = Stored(sketch(docs), "sketch")
-    nodes = Stored(signed.df.where("digest is not null").groupBy(F.col("digest").alias("node")).agg(F.min("doc_id").alias("any_id"), F.count("*").alias("rows"), F.first("bands").alias("bands")), "nodes")
-    buckets = nodes.df.select(F.explode("bands").alias("bucket"), "node")
+    worded = signed.df.where("digest is not null")
 
-    def sets_of(wanted: DataFrame) -> Stored:
-        return Stored(_shingle_sets(docs, wanted.distinct().join(nodes.df.select("node", "any_id"), "node")), "shingles")
+    def sets_of(wanted: DataFrame, names: DataFrame) -> Stored:
+        return Stored(_shingle_sets(docs, wanted.distinct().join(names.select(F.col("id").alias("node"), F.col("node").alias("name"), "doc"), "node")), "shingles")
 
-    def verify(pairs: DataFrame) -> Stored:
-        held = Stored(pairs, "pairs")
-        sets = sets_of(held.df.select(F.explode(F.array("a", "b")).alias("node")))
-        out = Stored(_similar(held.df, sets.df, least).select("a", "b"), "links")
-        held.drop(), sets.drop()
+    def verify(pairs: DataFrame, names: DataFrame) -> Stored:
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), names)
+        out = Stored(_similar(pairs, sets.df, least).select("a", "b"), "links")
+        sets.drop()
         return out
 
-    found = classes(buckets, verify, narrow=lambda mixed: _by_leader(mixed, sets_of, least))
-    of = nodes.df.select("node", "any_id", "rows").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = of.groupBy("component").agg(F.min("any_id").alias("class_id"), F.sum("rows").alias("class_size"))
-    label = Stored(of.join(sizes, "component").select(F.col("node").alias("digest"), "class_id", "class_size"), "classes")
+    buckets = worded.select(F.explode("bands").alias("bucket"), F.col("digest").alias("node"), F.col("doc_id").alias("doc"))
+    found = Stored(classes(buckets, verify, narrow=lambda mixed, names: _by_leader(mixed, lambda wanted: sets_of(wanted, names), least)), "linked-documents")
+    each = worded.groupBy("digest").agg(F.min("doc_id").alias("any_id"), F.count("*").alias("rows"))
+    of = Stored(each.join(small(found).withColumnRenamed("node", "digest"), "digest", "left"), "nodes")
+    sizes = of.df.where("component is not null").groupBy("component").agg(F.min("any_id").alias("class_id"), F.sum("rows").alias("class_size"))
+    linked = of.df.where("component is not null").join(sizes, "component").select("digest", "class_id", "class_size")
+    alone = of.df.where("component is null").select("digest", F.col("any_id").alias("class_id"), F.col("rows").alias("class_size"))
+    label = Stored(linked.unionByName(alone), "classes")
+    of.drop(), found.drop()
     out = signed.df.select("doc_id", "digest").join(label.df, "digest", "left")
     alone = F.col("digest").isNull()
     return out.select(
@@ -282,5 +285,5 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents with one of each class, all columns. Cases as in groups(); an id goes if none of its rows is kept."""
-    gone = Stored(groups(docs, least).where("doc_id is not null").groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("kept")).where("not kept").select("gone"), "gone").df
-    return docs.join(small(gone), docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    gone = Stored(groups(docs, least).where("doc_id is not null").groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("kept")).where("not kept").select("gone"), "gone")
+    return docs.join(small(gone), docs["doc_id"].cast("long") == gone.df["gone"], "left_anti")
