@@ -39,13 +39,13 @@ def test_iso_dates(spark):
 def test_deadlines(spark):
     read = lambda prose: lambda a: dates.iso_instant(dates.parse_deadline(a, prose))
     field = values(
-        spark, read(False), "entro le ore 18:00 di lunedì 22 giugno 2026", "ENTRO LE ORE 14.15 DI GIOVEDÌ 19 OTTOBRE 2023", "ore 12:00 del giorno venerdì 5 gennaio 2024 a mezzo posta", "ore 25:00 di 5 gennaio 2024", "ore 10:00 di 31 febbraio 2024",
-        "dalle ore 08:00 di lunedì 1 giugno 2026 ed entro le ore 14:00 di martedì 30 giugno 2026", "dalle ore 08:00 di lunedì 1 giugno 2026 alle ore 14:00 di martedì 30 giugno 2026", None, "nessuna",
+        spark, read(False), "entro le ore 17:30 di venerdì 9 ottobre 2026", "ENTRO LE ORE 16.05 DI MARTEDÌ 8 AGOSTO 2028", "ore 13:00 del giorno sabato 6 gennaio 2029 per via telematica", "ore 25:00 di 5 gennaio 2024", "ore 10:00 di 31 febbraio 2024",
+        "da ore 07:30 di mercoledì 5 luglio 2028 ed entro le ore 19:00 di venerdì 28 luglio 2028", "da ore 07:30 di mercoledì 5 luglio 2028 a ore 19:00 di venerdì 28 luglio 2028", None, "nessuna",
     )
-    assert field == ["2026-06-22T16:00:00.000Z", "2023-10-19T12:15:00.000Z", "2024-01-05T11:00:00.000Z", None, None, "2026-06-30T12:00:00.000Z", None, None, None]
+    assert field == ["2026-10-09T15:30:00.000Z", "2028-08-08T14:05:00.000Z", "2029-01-06T12:00:00.000Z", None, None, "2028-07-28T17:00:00.000Z", None, None, None]
     far = "entro " + "x" * 60 + " ore 10:00 di 5 marzo 2026"
-    prose = values(spark, read(True), "dalle ore 14:00 di giovedì 14 maggio 2026, con le modalità e nei limiti di cui al presente bando, e sino alle ore 14:00 di giovedì 21 maggio 2026", "alle ore 10:00 di 5 marzo 2026", "entro le ore 10:00 di 5 marzo 2026 o entro le ore 11:00 di 6 marzo 2026", far)
-    assert prose == ["2026-05-21T12:00:00.000Z", None, None, None]
+    prose = values(spark, read(True), "si apre alle ore 09:15 di martedì 3 novembre 2026 presso gli sportelli indicati in calce e si chiude, fino a ore 11:45 di lunedì 16 novembre 2026", "alle ore 10:00 di 5 marzo 2026", "entro le ore 10:00 di 5 marzo 2026 o entro le ore 11:00 di 6 marzo 2026", far)
+    assert prose == ["2026-11-16T10:45:00.000Z", None, None, None]
 
 
 def test_summer_time_borders(spark):
@@ -110,13 +110,13 @@ def test_act_keys(spark):
     assert values(spark, legal.family, "Legge", "Legge Qualificata", "Legge di Revisione Costituzionale", "Decreto - Legge", "Regolamento", "Errata corrige") == ["o", "q", "c", "o", "r", None]
     kinds = ["decreto  -  legge", "DECRETO LEGGE", "errata corrige del", "legge di revisione costituzionale", "DECRETO consiliare", "legge qualificata"]
     assert values(spark, legal.normal_type, *kinds) == ["Decreto-Legge", "Decreto-Legge", "Errata corrige", "Legge di Revisione Costituzionale", "Decreto Consiliare", "Legge Qualificata"]
-    assert values(spark, legal.type_of_title, "DECRETO CONSILIARE 22 dicembre 2025 n.157", "Errata Corrige", "Notifica", "Leggere", "Leggeà") == ["DECRETO CONSILIARE", "Errata corrige", "Atto", "Atto", "Legge"]
+    assert values(spark, legal.type_of_title, "DECRETO REGGENZIALE 4 aprile 2031 n.12", "Errata Corrige", "Notifica", "Leggere", "Leggeà") == ["DECRETO REGGENZIALE", "Errata corrige", "Atto", "Atto", "Legge"]
 
 
 def test_citations(spark):
-    title = "Decreto Delegato 24 dicembre 2025 n.159 - Modifica della Legge 25 luglio 2025, n. 101 e della legge qualificata n.186/2005, e ancora Legge 25 luglio 2025 n° 101, Legge 3 brumaio 2025 n.4"
-    got = values(spark, lambda a: legal.cited_keys(a, F.lit("o:2025/159")), title, "niente", None)
-    assert got == [["o:2025/101", "q:2005/186"], [], None]
+    title = "Regolamento 9 maggio 2031 n.77 - Attua la Legge 2 febbraio 2030, n. 61 con la legge qualificata n.8/1999, poi di nuovo Legge 2 febbraio 2030 n° 61, Legge 3 brumaio 2030 n.4"
+    got = values(spark, lambda a: legal.cited_keys(a, F.lit("r:2031/77")), title, "niente", None)
+    assert got == [["o:2030/61", "q:1999/8"], [], None]
     each = values(spark, legal.citations, "Legge n.5/2001 e Legge 31 aprile 2001 n.6")[0]
     assert [(c.tipo, c.anno, c.numero, c.data) for c in each] == [("Legge", 2001, 5, None), ("Legge", 2001, 6, dt.date(2001, 5, 1))]
 
