@@ -59,19 +59,25 @@ def attach(pairs: DataFrame, data: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _numbered(rows: DataFrame) -> tuple[Stored, DataFrame]:
-    """Names (id, node, doc) of the nodes that share a bucket, and their rows (bucket, node: the id)."""
-    found = rows.select("bucket", "node", "doc").where("bucket is not null and node is not null").withColumn("h", F.xxhash64("node"))
-    # most buckets hold one node: whether one holds two shows in the least and greatest hash, without moving the nodes
+    """Names (id, node, doc) of the nodes that share a bucket, and (bucket, node: the id) of the shared buckets.
+
+    Buckets are found by 64-bit hashes of the nodes, so that two longs a row are all that moves. Nodes whose hashes are
+    equal get numbers of their own and meet in each other's buckets, which costs a comparison and changes nothing.
+    """
+    rows = rows.where("node is not null").withColumn("h", F.xxhash64("node"))
+    found = rows.select(F.explode("buckets").alias("bucket"), "h").where("bucket is not null")
     several = Stored(found.groupBy("bucket").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least != most").select("bucket"), "shared-buckets")
-    shared = Stored(found.join(small(several), "bucket").select("bucket", "node", "doc"), "shared-rows")
+    shared = Stored(found.join(small(several), "bucket").groupBy("bucket", "h").agg(F.lit(1).alias("one")).drop("one"), "shared-rows")
     several.drop()
-    names = Stored(shared.df.groupBy("node").agg(F.min("doc").alias("doc")).withColumn("id", F.monotonically_increasing_id()), "names")
-    return names, shared.df.join(small(names), "node").select("bucket", F.col("id").alias("node"))
+    wanted = Stored(shared.df.select("h").distinct(), "shared-nodes")
+    names = Stored(rows.select("h", "node", "doc").join(small(wanted), "h").groupBy("h", "node").agg(F.min("doc").alias("doc")).withColumn("id", F.monotonically_increasing_id()), "names")
+    wanted.drop()
+    return names, shared.df.join(small(names).select("h", "id"), "h").select("bucket", F.col("id").alias("node"))
 
 
 def _members(rows: DataFrame) -> Stored:
-    """bucket, node, size_of, met, leader of the buckets with two nodes or more. Rows may repeat."""
-    each = Stored(rows.select("bucket", "node").distinct(), "bucket-nodes")
+    """bucket, node, size_of, met, leader of the buckets with two nodes or more."""
+    each = Stored(rows, "bucket-nodes")
     sizes = each.df.groupBy("bucket").agg(F.count("*").alias("size_of")).where("size_of > 1")
     sized = each.df.join(sizes, "bucket")
     met = Stored(sized.join(sized.groupBy("node").agg(F.sum("size_of").alias("met")), "node"), "met-buckets")
@@ -96,51 +102,51 @@ def _mixed(members: DataFrame, found: DataFrame) -> Stored:
 
 def classes(
     rows: DataFrame,
+    load: Callable[[DataFrame], Stored],
     verify: Callable[[DataFrame, DataFrame], Stored],
     narrow: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     refine: Callable[[DataFrame, DataFrame], Stored] | None = None,
 ) -> DataFrame:
     """(node, component) for every node with a verified link; component is a number.
 
-    rows: bucket (long), node (binary), doc (a row that holds the node); they may repeat. verify takes pairs (a, b) of
-    numbers and the names (id, node, doc), and stores those that hold. Null buckets or nodes are no candidates. ``narrow``
-    takes the nodes of buckets with several classes (bucket, node, component, leader, lead: the leader's component) and
-    names the pairs of different classes that can hold, given that all pairs with the leader were verified. ``refine``
-    takes the same nodes and stores (bucket, node) of the next level. Without either, and after DEPTH levels, the nodes
-    outside the bucket's largest class are verified against all of the bucket.
+    rows: node (binary), buckets (array of long), doc (a row that holds the node); a node may repeat. Null nodes and
+    buckets are no candidates. load takes names (id, node, doc) and stores what is compared, with the number as ``node``.
+    verify takes pairs (a, b) of numbers and that table, and stores those that hold. ``narrow`` takes the nodes of
+    buckets with several classes (bucket, node, component, leader, lead: the leader's component) and names the pairs of
+    different classes that can hold, given that all pairs with the leader were verified. ``refine`` takes the same nodes
+    and stores (bucket, node) of the next level. Without either, and after DEPTH levels, the nodes outside the bucket's
+    largest class are verified against all of the bucket.
     """
     names, own = _numbered(rows)
+    data = load(names.df.select("id", "node", "doc"))
     tested: list[DataFrame] = []
     links: list[DataFrame] = []
 
-    def look(pairs: DataFrame) -> None:
+    def look(pairs: DataFrame) -> DataFrame:
+        """The components after these pairs were verified too."""
         for seen in tested:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         held = Stored(pairs, "candidates")
         tested.append(held.df)
-        links.append(verify(held.df, names.df).df)
-
-    def labels() -> DataFrame:
+        links.append(verify(held.df, data.df).df)
         every = links[0]
         for x in links[1:]:
             every = every.unionByName(x)
         return components(every, "a", "b", "long")
 
-    found = None
     for level in range(1, DEPTH + 1):
         members = _members(own)
-        look(_pairs(members.df))
-        found = labels()
+        found = look(_pairs(members.df))
         mixed = _mixed(members.df, found)
         members.drop()
         if not mixed.df.limit(1).count():
             break
         if narrow or not refine or level == DEPTH:
-            look((narrow(mixed.df, names.df) if narrow else _across(mixed.df)))
-            found = labels()
+            found = look(narrow(mixed.df, data.df) if narrow else _across(mixed.df))
             break
-        own = refine(mixed.df, names.df).df
+        own = refine(mixed.df, data.df).df.distinct()
         mixed.drop()
+    data.drop()
     return found.join(names.df.select(F.col("id").alias("node"), F.col("node").alias("name")), "node").select(F.col("name").alias("node"), "component")
 
 

@@ -9,7 +9,7 @@ shingles it has. Coordinates in bands make bucket keys; candidate pairs are veri
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -145,7 +145,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, shingles (sorted 64-bit) of one text for each wanted node (node, name: its digest, doc)."""
+    """node, shingles (sorted 64-bit) of one text for each wanted node (id, node: its digest, doc), named by its id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -157,7 +157,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(small(ids), texts["doc_id"].eqNullSafe(ids.df["doc"]), "left_semi")
     sets = texts.select("text").mapInArrow(run, "name binary, shingles binary")
-    return sets.join(wanted.select("node", "name"), "name").select("node", "shingles").dropDuplicates(["node"])
+    return sets.join(wanted.select("id", F.col("node").alias("name")), "name").select(F.col("id").alias("node"), "shingles").dropDuplicates(["node"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -176,7 +176,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return attach(pairs, sets, ["shingles"]).withColumn("similarity", jaccard("a_shingles", "b_shingles")).where(F.col("similarity") >= least).select("a", "b", "similarity")
 
 
-def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least: float) -> DataFrame:
+def _by_leader(mixed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) of nodes of different classes in a bucket that can be similar, by their differences from its leader.
 
     Let F be the shingles that only one of a set and the leader's has, s their number, n the set's size. The sets x and y
@@ -187,7 +187,6 @@ def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least:
     edits are rare, so the variants of one text meet only where they share an edit.
     """
     rows = mixed.select(F.col("leader").alias("a"), F.col("node").alias("b"), "component", (F.col("component") != F.col("lead")).alias("rest")).distinct().where("a != b")
-    sets = sets_of(mixed.select("node"))
     r = (1 - least) / (1 + least)
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +199,7 @@ def _by_leader(mixed: DataFrame, sets_of: Callable[[DataFrame], Stored], least:
                 n.append(len(y)), m.append(len(x))
             yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("component"), batch.column("rest"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(out, pa.binary())], ["node", "component", "rest", "n", "m", "diff"])
 
-    diffs = Stored(attach(rows, sets.df, ["shingles"]).select("a", "b", "component", "rest", "a_shingles", "b_shingles").mapInArrow(differ, "node long, component long, rest boolean, n long, m long, diff binary"), "differences")
-    sets.drop()
+    diffs = Stored(attach(rows, sets, ["shingles"]).select("a", "b", "component", "rest", "a_shingles", "b_shingles").mapInArrow(differ, "node long, component long, rest boolean, n long, m long, diff binary"), "differences")
     cells = lambda x: (x % np.uint64(CELLS)).astype(np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,17 +253,14 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     signed = Stored(sketch(docs), "sketch")
     worded = signed.df.where("digest is not null")
 
-    def sets_of(wanted: DataFrame, names: DataFrame) -> Stored:
-        return Stored(_shingle_sets(docs, wanted.distinct().join(names.select(F.col("id").alias("node"), F.col("node").alias("name"), "doc"), "node")), "shingles")
+    def load(names: DataFrame) -> Stored:
+        return Stored(_shingle_sets(docs, names), "shingles")
 
-    def verify(pairs: DataFrame, names: DataFrame) -> Stored:
-        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), names)
-        out = Stored(_similar(pairs, sets.df, least).select("a", "b"), "links")
-        sets.drop()
-        return out
+    def verify(pairs: DataFrame, sets: DataFrame) -> Stored:
+        return Stored(_similar(pairs, sets, least).select("a", "b"), "links")
 
-    buckets = worded.select(F.explode("bands").alias("bucket"), F.col("digest").alias("node"), F.col("doc_id").alias("doc"))
-    found = Stored(classes(buckets, verify, narrow=lambda mixed, names: _by_leader(mixed, lambda wanted: sets_of(wanted, names), least)), "linked-documents")
+    rows = worded.select(F.col("digest").alias("node"), F.col("bands").alias("buckets"), F.col("doc_id").alias("doc"))
+    found = Stored(classes(rows, load, verify, narrow=lambda mixed, sets: _by_leader(mixed, sets, least)), "linked-documents")
     each = worded.groupBy("digest").agg(F.min("doc_id").alias("any_id"), F.count("*").alias("rows"))
     of = Stored(each.join(small(found).withColumnRenamed("node", "digest"), "digest", "left"), "nodes")
     sizes = of.df.where("component is not null").groupBy("component").agg(F.min("any_id").alias("class_id"), F.sum("rows").alias("class_size"))
