@@ -8,6 +8,8 @@ last remainder of a group becomes sequences whose lengths are powers of two, whi
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -30,6 +32,22 @@ END = 0
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def specials(path: str | None = None) -> dict[bytes, int]:
+    """The literal special tokens of a tokenizers file and their ids: in a text they stand for themselves."""
+    with open(path or vocabulary("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return {x["content"].encode(): x["id"] for x in json.load(f)["added_tokens"]}
+
+
+def encoded(own: LibraryEncoder, texts: list[bytes], special: dict[bytes, int]) -> list[np.ndarray]:
+    """The ids of each text; special tokens part it, and what lies between them is encoded by itself."""
+    if not any(x in t for x in special for t in texts):
+        return own.encode(texts)
+    cut = re.compile(b"(%s)" % b"|".join(map(re.escape, sorted(special, key=len, reverse=True))))
+    pieces = [cut.split(t) for t in texts]  # plain and special pieces in turn
+    plain = iter(own.encode([x for p in pieces for x in p[::2]]))
+    return [np.concatenate([np.array([special[x]], np.uint32) if k % 2 else next(plain) for k, x in enumerate(p)]) for p in pieces]
+
+
 class Windows:
     """The open windows of one partition. Pieces are (doc, start, ids, doc_tokens) in the order of their offsets."""
 
@@ -75,15 +93,18 @@ def merge(pieces: list[tuple], size: int = WINDOW) -> Iterator[list]:
                 window = []
 
 
-def pack(docs: DataFrame, path: str | None = None, pattern: str | None = None, window: int = WINDOW, open_windows: int = OPEN_WINDOWS, keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, pattern: str | None = None, window: int = WINDOW, open_windows: int = OPEN_WINDOWS, keep_ids: bool = False, special: dict[bytes, int] | None = None) -> DataFrame:
     """Packs every whole text, followed by id END, into sequences of at most ``window`` ids.
 
     One row for each piece: doc_id, start, length, ids_crc32 (of the little-endian unsigned 32-bit ids), doc_tokens,
     sequence_id, offset, and with ``keep_ids`` the ids themselves. A null text counts as empty and so is the end id
     alone; a null doc_id stays null; rows that repeat are packed as often as they stand there; an empty table gives an
-    empty result; other columns are not read. Ids are those of the public 50k byte-level vocabulary.
+    empty result; columns besides doc_id and text are left aside. Very long texts are packed whole, over as many windows
+    as they fill. Windows that fit equally well count in their order. Ids are those of the public 50k byte-level
+    vocabulary as the tokenizers library gives them: a literal ``special`` token of a text (those of the public file if
+    none are given) is its own id.
     """
-    path, pattern = path or vocabulary(), pattern or default_pattern()
+    path, pattern, special = path or vocabulary(), pattern or default_pattern(), specials() if special is None else special
     ids_type = ", token_ids array<int>"
     schema = pa.schema(
         [(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
@@ -106,7 +127,7 @@ def pack(docs: DataFrame, path: str | None = None, pattern: str | None = None, w
         state, end, count = Windows(window, open_windows), np.array([END], np.uint32), part << 36
         for batch in slices(batches):
             done = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), own.encode(utf8(batch.column("text"))), strict=True):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded(own, utf8(batch.column("text")), special), strict=True):
                 done.extend(state.add(doc, np.concatenate([ids, end])))
             yield rows(done, count, -1, keep_ids)
             count += len(done)

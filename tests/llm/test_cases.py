@@ -109,9 +109,14 @@ def test_library_encoder_agrees():
 
 def test_packing(odd):
     rows = packing.pack(odd, window=64, keep_ids=True).collect()
-    own = bpe.LibraryEncoder(bpe.vocabulary(), bpe.default_pattern())
-    total = sum(len(own.own.encode_ordinary(r.text or "")) + 1 for r in odd.collect())
-    assert sum(r.length for r in rows) == total
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in [*enumerate(TEXTS), (None, "no id here")]}
+    assert want[TEXTS.index("<|endoftext|> 100% #tag & <b>")][0] == 50256
+    assert sum(r.length for r in rows) == 2 * sum(map(len, want.values())) - len(want[None])
+    assert all(r.token_ids == want[r.doc_id][r.start : r.start + r.length] and r.doc_tokens == len(want[r.doc_id]) for r in rows)
     assert all(crc32(np.array(r.token_ids, "<u4").tobytes()) == r.ids_crc32 and len(r.token_ids) == r.length for r in rows)
     full = {}
     for r in rows:
@@ -121,6 +126,31 @@ def test_packing(odd):
     assert packing.pack(odd.limit(0)).count() == 0
 
 
+def test_special_tokens_within_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own, texts = bpe.LibraryEncoder(bpe.vocabulary(), bpe.default_pattern()), ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "a<|endoftext|>  b", "<|endoftext|", "x<|endoftext|>'s é<|endoftext|>\n\n", ""]
+    got = packing.encoded(own, [t.encode() for t in texts], packing.specials())
+    assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_long_runs_stay_in_matrices():
+    """Runs of 257 bytes and more against the tiktoken library: of one letter, of random letters, of random bytes of UTF-8."""
+    import public_tokenizers as P
+    import tiktoken
+
+    own = bpe.MatrixBpe(bpe.vocabulary(), bpe.default_pattern())
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    r = random.Random(5)
+    runs = ["x" * 257, "x" * 4001, "ab" * 700, "".join(r.choice("ABCDEFGHIJabcdefghij") for _ in range(5000)), base64.b64encode(r.randbytes(9000)).decode().replace("+", "a").replace("/", "b").replace("=", "c"), "é" * 300, "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(900)), "the" * 400, "=" * 999, "-=" * 400]
+    words = [w for t in runs for w in own.pattern.findall(t)]
+    assert max(map(len, words)) > 3000
+    got = own.encode_words([w.encode() for w in words])
+    assert [np.frombuffer(x, np.uint32).tolist() for x in got] == [library.encode_ordinary(w) for w in words]
+
+
 def test_language(odd, spark):
     model = langid.fit(odd)
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(odd, model).collect()}
