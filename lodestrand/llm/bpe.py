@@ -17,11 +17,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import parts, slices, utf8
 
 #: Entries of the per-worker word cache; an entry takes about 250 bytes. Full, it admits no more words.
 CACHE_WORDS = 600_000
 _NONE = np.int64(1) << 40
+#: Bytes of a row of a matrix at most. Longer runs are cut where no merge can cross, else swept in a row of their own.
+WIDEST = 256
 
 
 def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -84,6 +86,10 @@ class MatrixBpe:
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(rank)
         self.pairs = PairTable(np.array(left, np.int64), np.array(right, np.int64), np.array(merged, np.int64))
+        self.beside = np.zeros((256, 256), bool)  # bytes that stand beside each other in some token
+        for token in self.ranks:
+            for a, b in itertools.pairwise(token):
+                self.beside[a, b] = True
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of single pre-tokens, as little-endian uint32. A pre-token that is a token by itself is that token."""
@@ -105,8 +111,8 @@ class MatrixBpe:
         return out
 
     def _merge(self, words: list[bytes], width: int) -> list[bytes]:
-        if width > 256:  # a long run without a boundary: quadratic in a matrix, so by a heap
-            return [self._merge_long(w).astype("<u4").tobytes() for w in words]
+        if width > WIDEST:  # a long run without a boundary
+            return [self._long(w) for w in words]
         sizes = np.array([len(w) for w in words])
         raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)
         cells = self.first[raw]
@@ -147,37 +153,56 @@ class MatrixBpe:
         out[rows, cols] = self.pairs.lookup(cells[rows, cols], cells[rows, cols + 1])
         return out
 
-    def _merge_long(self, word: bytes) -> np.ndarray:
-        """The same rule over a linked list with a heap, n log n for a run of n bytes."""
-        import heapq
-
-        ids = self.first[np.frombuffer(word, np.uint8)].tolist()
-        n = len(ids)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        table = self._pair_dict()
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := table.get((ids[i], ids[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = after[i] if ids[i] == a else n
-            if j >= n or ids[j] != b:
+    def _long(self, word: bytes) -> bytes:
+        """A run of over WIDEST bytes, cut between bytes that no token holds side by side, which no merge can cross."""
+        raw = np.frombuffer(word, np.uint8)
+        cuts = [0, *(np.flatnonzero(~self.beside[raw[:-1], raw[1:]]) + 1).tolist(), len(raw)]
+        pieces = [word[i:j] for i, j in itertools.pairwise(cuts)]
+        out: dict[bytes, bytes] = {}
+        widths: dict[int, list[bytes]] = {}
+        for x in dict.fromkeys(pieces):
+            widths.setdefault(max(4, 1 << (len(x) - 1).bit_length()), []).append(x)
+        for width, rows in widths.items():
+            if width > WIDEST:
+                out.update((x, self._sweep(x)) for x in rows)
                 continue
-            ids[i], ids[j] = r, -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (x := table.get((r, ids[after[i]]))) is not None:
-                    heapq.heappush(heap, (x, i, r, ids[after[i]]))
-            if before[i] >= 0 and (x := table.get((ids[before[i]], r))) is not None:
-                heapq.heappush(heap, (x, before[i], ids[before[i]], r))
-        return np.array([x for x in ids if x >= 0], np.int64)
-
-    def _pair_dict(self) -> dict[tuple[int, int], int]:
-        if not hasattr(self, "_dict"):
-            used = self.pairs.keys >= 0
-            k, v = self.pairs.keys[used], self.pairs.values[used]
-            self._dict = dict(zip(zip((k >> 32).tolist(), (k & 0xFFFFFFFF).tolist(), strict=True), v.tolist(), strict=True))
-        return self._dict
+            step = max(1, (1 << 20) // width)
+            for at in range(0, len(rows), step):
+                out.update(zip(rows[at : at + step], self._merge(rows[at : at + step], width), strict=True))
+        return b"".join(map(out.__getitem__, pieces))
+
+    def _sweep(self, word: bytes) -> bytes:
+        """One row of any length: each round merges the pair of least rank wherever it stands, from the left.
+
+        That is the same as one merge after the other as long as no merge makes a pair of a lower rank, be it for a
+        moment beside the next place; else only the leftmost place merges in that round.
+        """
+        cells = self.first[np.frombuffer(word, np.uint8)]
+        rank = self.pairs.lookup(cells[:-1], cells[1:])
+        while len(rank) and (low := int(rank.min())) < _NONE:
+            at = np.flatnonzero(rank == low)
+            # of places that overlap (a run of one symbol) every second, from the left
+            first = np.concatenate([[True], at[1:] != at[:-1] + 1])
+            at = at[(np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))) % 2 == 0]
+            between = self.pairs.lookup(np.full(len(at), low), cells[at]).min() if (at[1:] == at[:-1] + 2).any() else _NONE
+            after = self._merged(cells, rank, at, low)
+            if min(between, after[2]) < low and len(at) > 1:
+                after = self._merged(cells, rank, at[:1], low)
+            cells, rank, _ = after
+        return cells.astype("<u4").tobytes()
+
+    def _merged(self, cells: np.ndarray, rank: np.ndarray, at: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Cells and ranks after the pairs at some places became ``low``, and the least rank that is new."""
+        keep = np.ones(len(cells), bool)
+        keep[at + 1] = False
+        cells = cells.copy()
+        cells[at] = low
+        cells, rank = cells[keep], np.concatenate([[_NONE], rank])[keep][1:]
+        at = at - np.arange(len(at))  # where the merged symbols stand afterwards
+        near = np.unique(np.concatenate([at - 1, at]))
+        near = near[(near >= 0) & (near < len(rank))]
+        rank[near] = self.pairs.lookup(cells[near], cells[near + 1])
+        return cells, rank, int(rank[near].min()) if len(near) else _NONE
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -307,7 +332,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path, pattern)
         for column in batches:
-            yield pa.array([x.astype(np.int32) for x in own.encode(utf8(column))], pa.list_(pa.int32()))
+            yield pa.array([x.astype(np.int32) for part in parts(column) for x in own.encode(utf8(part))], pa.list_(pa.int32()))
 
     return docs.withColumn(ids, run(F.col(text)))
 
