@@ -6,6 +6,7 @@ driver can read them, so a lost executor costs a re-read and not a recomputation
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -63,6 +64,12 @@ def small(table: Stored) -> DataFrame:
     return F.broadcast(table.df) if table.bytes() <= SMALL_BYTES else table.df
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of jobs that are over: Spark deletes them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     return Stored(df, tag).df
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Stored, components, small
+from .common import Stored, components, reclaim, small
 
 #: Nodes of a bucket whose order one task sorts; larger buckets are cut by a hash of the node.
 PER_RUN = 4096
@@ -69,6 +69,7 @@ def _numbered(rows: DataFrame) -> tuple[Stored, DataFrame]:
     several = Stored(found.groupBy("bucket").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least != most").select("bucket"), "shared-buckets")
     shared = Stored(found.join(small(several), "bucket").groupBy("bucket", "h").agg(F.lit(1).alias("one")).drop("one"), "shared-rows")
     several.drop()
+    reclaim(rows.sparkSession)
     wanted = Stored(shared.df.select("h").distinct(), "shared-nodes")
     names = Stored(rows.select("h", "node", "doc").join(small(wanted), "h").groupBy("h", "node").agg(F.min("doc").alias("doc")).withColumn("id", F.monotonically_increasing_id()), "names")
     wanted.drop()
@@ -119,6 +120,7 @@ def classes(
     """
     names, own = _numbered(rows)
     data = load(names.df.select("id", "node", "doc"))
+    reclaim(rows.sparkSession)
     tested: list[DataFrame] = []
     links: list[DataFrame] = []
 
@@ -129,6 +131,7 @@ def classes(
         held = Stored(pairs, "candidates")
         tested.append(held.df)
         links.append(verify(held.df, data.df).df)
+        reclaim(held.spark)
         every = links[0]
         for x in links[1:]:
             every = every.unionByName(x)
@@ -145,6 +148,7 @@ def classes(
             found = look(narrow(mixed.df, data.df) if narrow else _across(mixed.df))
             break
         own = refine(mixed.df, data.df).df.distinct()
+        reclaim(mixed.spark)
         mixed.drop()
     data.drop()
     return found.join(names.df.select(F.col("id").alias("node"), F.col("node").alias("name")), "node").select(F.col("name").alias("node"), "component")
