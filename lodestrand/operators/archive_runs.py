@@ -23,13 +23,13 @@ def chosen(acts: DataFrame, most: int | None) -> DataFrame:
     return acts if most is None else acts.orderBy(F.desc_nulls_last("data"), F.desc_nulls_last("numero"), "url").limit(most)
 
 
-def deliver(spark: SparkSession, listed: DataFrame, texts: DataFrame, target: str, most: int | None = None) -> dict[str, int]:
-    """Writes new acts and their passages; counters elencati, tentati, scritti, nuovi, senza_testo, errori, elenchi_incompleti."""
+def deliver(spark: SparkSession, listed: DataFrame, texts: DataFrame, target: str, most: int | None = None, tried: bool = False) -> dict[str, int]:
+    """Writes new acts and their passages, with ``tried`` only those that texts has a row of; counters elencati, tentati, scritti, nuovi, senza_testo, errori, elenchi_incompleti."""
     parents = sinks.KeyedTable(spark, f"{target}/atto_normativo", ACT)
-    children = sinks.KeyedTable(spark, f"{target}/atto_normativo_brano", CHILD)
+    children = sinks.KeyedTable(spark, f"{target}/atto_normativo_brano", CHILD, follows=parents)
     acts = Written(archive.first_by_url(listed), "acts")
     whole = archive.completeness(listed).first() if "totale" in listed.columns else None
-    todo = Written(chosen(unknown(acts.df, parents.keys()), most).join(texts.select("url", "testo", "errore").dropDuplicates(["url"]), "url", "left"), "acts-new")
+    todo = Written(chosen(unknown(acts.df, parents.keys()), most).join(texts.select("url", "testo", "errore").dropDuplicates(["url"]), "url", "inner" if tried else "left"), "acts-new")
     good = todo.df.where("errore is null")
     split = Written(
         passages.act_passages(good.select(F.col("url").alias("dedup_key"), "titolo", "testo")).groupBy("dedup_key").agg(F.array_sort(F.collect_list(F.struct("ordine", "etichetta", "testo"))).alias("brani")), "passages"

@@ -1,13 +1,16 @@
 """Delivery: keyed upserts into Parquet tables, run log, retirement, guards.
 
-A table is a folder with a ``base`` and numbered ``delta`` folders. An upsert appends one delta of the rows that came
-in; a read takes of each key the row of the latest delta; compaction folds the deltas into a new base. So a run writes
-as much as it brings, however large the table is, and a run that repeats its number replaces its own delta.
+A table is a folder of numbered bases and deltas. An upsert appends one delta of the rows that came in; a read takes the
+latest base and of each key the row of the latest delta beyond it; compaction folds the deltas into a new base. So a run
+writes as much as it brings, however large the table is. A folder counts from the moment Spark has marked it complete, in
+one step: the name of a base says which deltas it holds, so that these no longer count from then on, whether or not they
+are still there. Folders go one compaction later, when no reader needs them.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,22 +23,44 @@ LEAST_CURRENT = 20
 
 
 class KeyedTable:
-    """Rows by a key column; the latest delivery of a key wins."""
+    """Rows by a key column; the latest delivery of a key wins.
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: str = "dedup_key"):
-        self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
+    The deliveries of a table that ``follows`` another count once that one holds a delivery of the same number.
+    """
 
-    def _folders(self) -> list[tuple[int, str]]:
-        """(number, path) of the deltas that are complete, in order; number -1 is the base."""
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str = "dedup_key", follows: KeyedTable | None = None):
+        self.spark, self.path, self.schema, self.key, self.follows = spark, path.rstrip("/"), schema, key, follows
+
+    def _complete(self) -> tuple[list[tuple[int, int]], list[int]]:
+        """(generation, number after the last delta that it holds) of the complete bases, numbers of the complete deltas."""
         if not exists(self.spark, self.path):
-            return []
+            return [], []
         fs, at = file_system(self.spark, self.path)
-        names = [x.getPath().getName() for x in fs.listStatus(at)]
-        numbers = sorted(-1 if n == "base" else int(n[6:]) for n in names if n == "base" or n.startswith("delta-"))
-        return [(n, p) for n in numbers if exists(self.spark, f"{(p := self._folder(n))}/_SUCCESS")]
+        names = [n for n in (x.getPath().getName() for x in fs.listStatus(at)) if n.startswith(("base-", "delta-")) and exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+        parts = [n.split("-") for n in names]
+        deltas = sorted(int(x[1]) for x in parts if x[0] == "delta")
+        return sorted((int(x[1]), int(x[2])) for x in parts if x[0] == "base"), [n for n in deltas if self.follows is None or self.follows.holds(n)]
 
     def _folder(self, number: int) -> str:
-        return f"{self.path}/base" if number < 0 else f"{self.path}/delta-{number:010d}"
+        return f"{self.path}/delta-{number:010d}"
+
+    def _base(self, generation: int, last: int) -> str:
+        return f"{self.path}/base-{generation:010d}-{last + 1:010d}"
+
+    def _folders(self) -> list[tuple[int, str]]:
+        """(number, path) of what counts, in order: the latest base, as number -1, and the deltas that it does not hold."""
+        bases, deltas = self._complete()
+        last = bases[-1][1] - 1 if bases else -1
+        return [(-1, self._base(g, last)) for g, _ in bases[-1:]] + [(n, self._folder(n)) for n in deltas if n > last]
+
+    def holds(self, number: int) -> bool:
+        """Whether a delivery of this number is part of the table."""
+        bases, deltas = self._complete()
+        return number in deltas or bool(bases) and number < bases[-1][1]
+
+    def next_number(self) -> int:
+        bases, deltas = self._complete()
+        return max([n for _, n in bases] + [n + 1 for n in deltas], default=0)
 
     def _rows(self, below: int | None = None) -> DataFrame | None:
         out = None
@@ -64,10 +89,11 @@ class KeyedTable:
         """Writes rows of the table's columns; counts scritte (keys written) and nuove (keys that were not there).
 
         Of rows with one key in a delivery one is written, the greatest as a struct. Rows without a key raise. ``number``
-        names the delivery; the same number again replaces it. An empty delivery changes nothing.
+        names the delivery; the same number again replaces it, or follows the last one if it is part of a base by now. An
+        empty delivery changes nothing.
         """
-        folders = self._folders()
-        number = max([n for n, _ in folders], default=-1) + 1 if number is None else number
+        bases, _ = self._complete()
+        number = self.next_number() if number is None or bases and number < bases[-1][1] else number
         own = [c.split()[0] for c in self.schema.split(", ")]
         key = F.when(F.col(self.key).isNull(), F.raise_error(F.lit("a row has no key"))).otherwise(F.col(self.key))
         each = rows.select(own).groupBy(key.alias("__key")).agg(F.max(F.struct(*own)).alias("r")).select("r.*")
@@ -92,21 +118,24 @@ class KeyedTable:
         self._replace(self.read())
 
     def _replace(self, rows: DataFrame) -> None:
-        """A new base is complete before any old folder goes; a crash between leaves deltas that repeat what the base has."""
-        fresh = f"{self.path}/_new-base"
-        rows.write.mode("overwrite").parquet(fresh)
-        old = self._folders()
-        fs, at = file_system(self.spark, fresh)
-        remove(self.spark, self._folder(-1))
-        fs.rename(at, file_system(self.spark, self._folder(-1))[1])
-        for n, p in old:
-            if n >= 0:
-                remove(self.spark, p)
+        """A new base, whole before it counts. What the base before it had no use for goes; the rest goes next time."""
+        bases, deltas = self._complete()
+        generation, last = (bases[-1][0] + 1 if bases else 0), self.next_number() - 1
+        rows.write.mode("overwrite").parquet(self._base(generation, last))
+        held = bases[-1][1] - 1 if bases else -1
+        for g, n in bases[:-1]:
+            remove(self.spark, self._base(g, n - 1))
+        for n in deltas:
+            if n <= held:
+                remove(self.spark, self._folder(n))
 
 
 def replace_children(parents: KeyedTable, children: KeyedTable, acts: DataFrame, passages: DataFrame) -> dict[str, int]:
-    """Acts and their passages under one delivery number: passages are one row an act, an array, so both replace together."""
-    number = max([n for t in (parents, children) for n, _ in t._folders()], default=-1) + 1
+    """Acts and their passages in one step: passages are one row an act, an array, under the number of the acts' delivery.
+
+    ``children`` follows ``parents``, so what is written of them counts from the moment the acts are complete.
+    """
+    number = parents.next_number()
     children.upsert(passages, number)
     return parents.upsert(acts, number)
 
@@ -155,6 +184,7 @@ def summary(counts: dict) -> str:
     return "| voce | n |\n|---|---:|\n" + "".join(f"| {k} | {v} |\n" for k, v in counts.items())
 
 
-def pretty(rows: DataFrame, most: int) -> str:
-    """At most ``most`` rows as indented JSON, for a dry run."""
-    return json.dumps([json.loads(x) for (x,) in rows.limit(most).select(F.to_json(F.struct("*"))).collect()], ensure_ascii=False, indent=2)
+def pretty(rows: DataFrame) -> Iterator[str]:
+    """All rows of a dry run as indented JSON, one at a time: the driver holds one partition."""
+    for (x,) in rows.select(F.to_json(F.struct("*"))).toLocalIterator():
+        yield json.dumps(json.loads(x), ensure_ascii=False, indent=2)

@@ -138,7 +138,11 @@ def run_legislation(spark: SparkSession, listing: DataFrame, texts: DataFrame, t
 
     Known acts are left out before any text is split. ``most_new`` bounds the tries of a run, not its successes.
     """
-    counts = archive_runs.deliver(spark, listing, texts, target, most_new)
+    return delivered(spark, target, archive_runs.deliver(spark, listing, texts, target, most_new))
+
+
+def delivered(spark: SparkSession, target: str, counts: dict) -> Result:
+    """Logs a run on legislation and says whether it went well."""
     bad = sinks.too_many_errors(counts["errori"], counts["scritti"], counts["elenchi_incompleti"])
     sinks.outcome(spark, f"{target}/ingestione_esito", tipo="normativa", esito="errore" if bad else "ok", documenti=counts["elencati"], n_righe=counts["scritti"], nuove=counts["nuovi"])
     return Result(EMPTY if bad else OK, counts=counts)

@@ -67,7 +67,8 @@ def documents(pages: DataFrame, title: str | None = None, body: str | None = Non
         for column in batches:
             yield pa.array([page(h, title, body, day) for h in column.to_pylist()], kind)
 
-    read = pages.select("fonte_id", "url", run(F.col(html)).alias("p"))
+    # not deterministic for the optimizer, or else it parses every page again for the filter below
+    read = pages.select("fonte_id", "url", run.asNondeterministic()(F.col(html)).alias("p"))
     good = read.where(F.col("p.titolo").isNotNull() & (utf16_length(F.col("p.contenuto")) >= LEAST_BODY))
     body_ = F.col("p.contenuto")
     return good.select(

@@ -117,3 +117,14 @@ def to_json(notices: DataFrame, source: str) -> DataFrame:
     item = F.struct("titolo", "repertorio", iso_day(date_of(F.col("data_emissione"))).alias("data_emissione"), "scadenza", iso_instant(F.col("scadenza_il")).alias("scadenza_il"), "scaduto", "descrizione", F.col("url").alias("url_dettaglio"), "allegati")
     rows = F.array_sort(F.collect_list(F.struct("fonte_id", "pos", item.alias("item"))))
     return notices.groupBy("fonte_id").agg(rows.alias("r")).select("fonte_id", F.to_json(F.struct(F.lit(source).alias("fonte"), F.size("r").alias("count"), F.transform("r", lambda x: x["item"]).alias("items"))).alias("json"))
+
+
+def bullets(notices: DataFrame) -> Iterator[str]:
+    """The notices as text for a dry run, a page at a time: title, day, number and state, deadline, attachments."""
+    for r in notices.orderBy("fonte_id", "pos").toLocalIterator():
+        day = r.data_emissione.strftime("%d/%m/%Y") if r.data_emissione else "?"
+        yield f"• {r.titolo}\n  {day} · {r.repertorio or 'senza repertorio'} · {'SCADUTO' if r.scaduto else 'aperto'}"
+        if r.scadenza:
+            yield f"  scadenza: {r.scadenza}"
+        for a in r.allegati or []:
+            yield f"  PDF {a.nome}\n      {a.url}"

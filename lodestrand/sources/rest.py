@@ -1,6 +1,6 @@
 """Fetching: retries, gateway fallback, paged listings. The transport is a function, so runs without a network read files.
 
-The paged reader is a Spark data source: every page range is a task, and the fetched pages never pass the driver.
+The paged reader is a Spark data source: every endpoint is a task, for its pages end where the server says so, and the fetched pages never pass the driver.
 """
 
 from __future__ import annotations
@@ -8,8 +8,10 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from hashlib import sha1
 from pathlib import Path
 from urllib.error import HTTPError
+from urllib.parse import quote
 from urllib.request import Request, urlopen
 
 from pyspark.sql import SparkSession
@@ -19,6 +21,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 WAITS, TIMEOUT = (0, 3, 10), 60
 HEADERS = {"User-Agent": "Mozilla/5.0 (compatible; lodestrand)", "Accept": "*/*"}
 PAGE_SIZE, MOST_PAGES, MEDIA_BLOCK = 100, 20, 100
+#: Characters of a file name in a landing folder.
+LONGEST_NAME = 180
 FIELDS = "id,link,title,acf,featured_media"
 
 
@@ -47,11 +51,17 @@ def get(url: str) -> bytes:
         raise OSError(f"status {e.code} from {url}") from e
 
 
+def file_name(url: str) -> str:
+    """The name of an address in a landing folder: each character that no file name has as "_", a long one cut and told by its digest."""
+    plain = "".join(c if c.isalnum() or c in ".-=&" else "_" for c in url)
+    return plain if len(plain) <= LONGEST_NAME else f"{plain[:LONGEST_NAME - 41]}-{sha1(url.encode()).hexdigest()}"
+
+
 def from_folder(folder: str) -> Callable[[str], bytes]:
-    """A transport that reads files named by the address, each character that no file name has as "_"."""
+    """A transport that reads files named by the address."""
 
     def read(url: str) -> bytes:
-        path = Path(folder) / "".join(c if c.isalnum() or c in ".-=&" else "_" for c in url)
+        path = Path(folder) / file_name(url)
         if not path.exists():
             raise Missing(404)
         return path.read_bytes()
@@ -83,6 +93,11 @@ def with_gateway(url: str, transport: Callable[[str], bytes], gateway: Callable[
         return gateway(url)
 
 
+def through(address: str, transport: Callable[[str], bytes]) -> Callable[[str], bytes]:
+    """A gateway that fetches the address appended to its own."""
+    return lambda url: transport(address + quote(url, safe=""))
+
+
 def page_url(endpoint: str, page: int) -> str:
     return f"{endpoint}?per_page={PAGE_SIZE}&page={page}&_fields={FIELDS}"
 
