@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+#: Rows of an Arrow batch at most while a table is written: a row is a document.
+BATCH_ROWS = 2000
 #: Bytes of text that the Python side of an operator holds decoded at once.
 SLICE_BYTES = 6 << 20
 
@@ -39,7 +41,13 @@ class Stored:
     def __init__(self, df: DataFrame, tag: str):
         self.spark = df.sparkSession
         self.path = f"{scratch_root(self.spark)}/lodestrand/{tag}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        conf, rows = self.spark.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(rows)
+        conf.set(rows, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+        try:
+            df.write.parquet(self.path)
+        finally:
+            conf.set(rows, before)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def _files(self):
