@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import legal
+from ..functions.text import utf16_length
 from ..operators import graph, passages
 from ..sources import archive
 from .registry import query, table
@@ -194,9 +195,47 @@ def archive_listing(spark, d):
     return acts.select("url", "tipo", "numero", F.date_format("data", "yyyy-MM-dd").alias("data"), "chiave", "titolo", "totale")
 
 
-@query("SELECT count(*)::BIGINT AS lette, count(*)::BIGINT AS distinte, 0::BIGINT AS doppie, max(n)::INTEGER AS totale, true AS completa FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey), orders".replace("FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey), orders", "FROM (SELECT count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)"))
+@query("""
+WITH c AS (SELECT count(*)::BIGINT AS n, max(k)::INTEGER AS totale FROM (SELECT count(*) OVER (PARTITION BY o_custkey) AS k FROM orders)), t AS (SELECT count(*)::BIGINT AS n FROM orders WHERE o_custkey % 5 = 0)
+SELECT 'doppie' AS caso, c.n + t.n AS lette, c.n AS distinte, t.n AS doppie, totale, true AS completa FROM c, t
+UNION ALL SELECT 'mancanti', n, n, 0, totale + 100000000, false FROM c""")
 def archive_completeness(spark, d):
-    return archive.completeness(archive.parse_listing(_listing(spark, d)))
+    """A crawl that read some acts twice, and one that read fewer than were stated."""
+    acts = archive.parse_listing(_listing(spark, d))
+    twice = archive.completeness(acts.unionByName(acts.where("page % 5 = 0"))).withColumn("caso", F.lit("doppie"))
+    short = archive.completeness(acts.withColumn("totale", F.col("totale") + 100_000_000)).withColumn("caso", F.lit("mancanti"))
+    return twice.unionByName(short)
+
+
+#: Annexes with and without a sign, each of two paragraphs, the second of two lines.
+@query("""
+WITH o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders),
+l AS (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 'Allegato' ELSE 'ALLEGATO ' || n END AS riga FROM o)
+SELECT o_custkey AS dedup_key, (n - 1)::INTEGER AS ordine, replace(riga, 'ALLEGATO', 'Allegato') AS etichetta, riga || chr(10) || chr(10) || 'Voce ' || o_orderkey || ' e nota di chi legge la tabella intera, riga per riga.' AS testo FROM l""")
+def annex_passages(spark, d):
+    from pyspark.sql import Window as W
+
+    o = table(spark, d, "orders").withColumn("n", F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")))
+    line = F.when(F.expr("o_orderkey % 3 = 0"), F.lit("Allegato")).otherwise(F.concat(F.lit("ALLEGATO "), "n"))
+    annex = F.concat(line, F.lit("\n\n\n"), F.lit("Voce "), "o_orderkey", F.lit(" e nota\n di chi legge la tabella intera, riga per riga.\n"))
+    text = o.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", annex.alias("t")))), lambda x: x["t"]), "").alias("testo"))
+    return passages.act_passages(text.select(F.col("o_custkey").alias("dedup_key"), F.lit("Legge").alias("titolo"), "testo"))
+
+
+@query("SELECT n_nationkey AS dedup_key, (i - 1)::INTEGER AS ordine, 'Art. ' || i AS etichetta, 'Testo ' || i || '.' AS testo FROM nation, (SELECT unnest(range(1, 451)) AS i) WHERE i <= 400")
+def passage_limit(spark, d):
+    """Acts of 450 articles."""
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(450)), lambda i: F.concat(F.lit("Art. "), i, F.lit("\nTesto "), i, F.lit("."))), "\n")
+    return passages.act_passages(table(spark, d, "nation").select(F.col("n_nationkey").alias("dedup_key"), F.lit("x").alias("titolo"), text.alias("testo")))
+
+
+@query("SELECT r_regionkey AS dedup_key, count(*)::BIGINT AS brani, 285 * 2799::BIGINT AS unita FROM region, (SELECT unnest(range(0, 285)) AS i) GROUP BY r_regionkey")
+def act_limit_in_units(spark, d):
+    """Acts of 300 articles of 1399 characters beyond the basic plane and a stop: 800,000 UTF-16 units hold 285 of them."""
+    body = F.concat(F.lit("\n"), F.repeat(F.lit("\U0001f600"), F.lit(1399)), F.lit("."))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.concat(F.lit("Art. "), i, body)), "\n")
+    each = passages.act_passages(table(spark, d, "region").select(F.col("r_regionkey").alias("dedup_key"), F.lit("x").alias("titolo"), text.alias("testo")))
+    return each.groupBy("dedup_key").agg(F.count("*").alias("brani"), F.sum(utf16_length(F.col("testo"))).cast("long").alias("unita"))
 
 
 @query("""
