@@ -154,7 +154,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """One row for each document: doc_id, held_out, lang_pred, score (its proportion), languages (the chosen set, by proportion).
 
     ``und`` with score 0 if the text is null, has no letter, or nothing was learned. Repeated rows are predicted each; an
-    empty table gives an empty result; lang, source and doc_id are not read for a prediction.
+    empty table gives an empty result; very long texts count whole; of languages that score alike the first by name is
+    given. lang, source and doc_id are not read for a prediction.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

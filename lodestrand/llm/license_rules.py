@@ -2,7 +2,8 @@
 
 A line is ``label | priority | keyword | pattern``. Patterns match whole words (the caller adds the borders). Priority
 5 names a license with its version or quotes its text, 1 is a mere hint. The keyword must occur in a text for the pattern
-to be tried; every pattern holds one of the words of GATE.
+to be tried: a word of all its wordings, or ("deal") one that the license has elsewhere and its kin lack. Every pattern
+holds one of the words of GATE.
 """
 
 #: Any license text has one of these; documents without them are not normalised at all.
@@ -10,7 +11,9 @@ GATE = ["license", "licence", "licensed", "copyright", "copyleft", "cc", "domain
 
 _RULES = r"""
 apache-2.0 | 5 | apache | apache license (?:version )?2(?: 0)?
-apache-2.0 | 5 | apache | (?:apache|apl|asl) 2(?: 0)? license
+apache-2.0 | 5 | apache | apache 2(?: 0)? license
+apache-2.0 | 5 | apl | apl 2(?: 0)? license
+apache-2.0 | 5 | asl | asl 2(?: 0)? license
 apache-2.0 | 5 | apache | spdx license identifier apache 2 0
 apache-2.0 | 5 | apache | www apache org licenses license 2 0
 apache-1.1 | 5 | apache | apache (?:software )?license (?:version )?1 1
@@ -28,8 +31,9 @@ gpl | 3 | gnu | gnu general public licen[cs]e
 gpl | 3 | gpl | gnu gpl licen[cs]e
 gpl | 2 | gpl | licensed under the (?:gnu )?gpl
 gpl | 2 | gpl | gpl licensed
-gpl-3.0 | 5 | gpl | licensed under (?:the )?(?:gnu )?gpl ?v?3(?: 0)?
-gpl-3.0 | 5 | gplv3 | licensed under (?:the )?(?:gnu )?gplv3
+gpl-3.0 | 5 | gpl | licensed under (?:the )?(?:gnu )?gpl v?3(?: 0)?
+gpl-3.0 | 5 | gpl3 | licensed under (?:the )?(?:gnu )?gpl3(?: 0)?
+gpl-3.0 | 5 | gplv3 | licensed under (?:the )?(?:gnu )?gplv3(?: 0)?
 gpl-2.0 | 5 | gplv2 | licensed under (?:the )?(?:gnu )?gplv2
 lgpl-3.0 | 5 | lesser | gnu lesser general public license (?:as published by the free software foundation )?(?:either )?(?:version |v)3
 lgpl-2.1 | 5 | lesser | gnu lesser general public license (?:as published by the free software foundation )?(?:either )?(?:version |v)2 1
@@ -150,7 +154,8 @@ unicode | 5 | unicode | unicode (?:inc )?license agreement
 icu | 5 | icu | icu license
 wtfpl | 5 | fuck | do what the fuck you want to public license
 wtfpl | 5 | wtfpl | wtfpl license
-beerware | 5 | beer | beer ?ware license
+beerware | 5 | beer | beer ware license
+beerware | 5 | beerware | beerware license
 unlicense | 5 | unlicense | (?:the )?unlicense
 unlicense | 4 | unencumbered | free and unencumbered software released into the public domain
 unlicense | 5 | unlicense | spdx license identifier unlicense
@@ -223,7 +228,7 @@ confluent | 5 | confluent | confluent community license
 timescale | 5 | timescale | timescale license
 redis-sal | 5 | redis | redis source available license
 openrail | 4 | openrail | (?:creativeml |bigscience |bigcode )?openrail(?: m)? license
-openrail | 4 | rail | (?:bigscience |bigcode )?open ?rail license
+openrail | 4 | rail | (?:bigscience |bigcode )?open rail license
 llama-community | 5 | llama | llama (?:2|3|3 1|3 2|4)? ?community license
 ms-pl | 5 | microsoft | microsoft public license
 ms-rl | 5 | microsoft | microsoft reciprocal license

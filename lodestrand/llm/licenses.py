@@ -37,7 +37,7 @@ def detect(docs: DataFrame, beside: list[str] | None = None) -> DataFrame:
 
     found is array<struct<s,p,o,l,e>>: start and end in ``words`` (code points), priority, rule, label. A match within
     another of at least its priority is dropped; of equal matches the first rule's stays. Null texts count as empty;
-    repeated rows are scanned each; an empty table gives an empty result; only columns named in ``beside`` pass through.
+    repeated rows are scanned each; very long texts whole; an empty table gives an empty result; only columns named in ``beside`` pass through.
     """
     own = beside or []
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -209,7 +209,7 @@ def digests(docs: DataFrame) -> DataFrame:
     """One row for each document: the digests of its container and of the samples read back from it.
 
     Null and empty texts are one unit of spaces; repeated rows stay; an empty table gives an empty result; other
-    columns are not read. Equal texts give equal values: the containers hold no times or names.
+    columns are not read; very long texts are one container each. Equal texts give equal values: the containers hold no times or names.
     """
     names = [c.split()[0] for c in DIGESTS.split(", ")]
 

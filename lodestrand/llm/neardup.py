@@ -248,7 +248,7 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     ``least``; texts of the same words are always in one class. A text of fewer than five words is one shingle. Null,
     empty and blank texts are alone in their classes and kept. Of the rows with the least doc_id of a class all are kept,
     so rows that repeat an id count as one document; rows without a doc_id are kept. An empty table gives an empty
-    result; other columns are not read.
+    result; other columns are not read. Very long texts count with all their shingles.
     """
     signed = Stored(sketch(docs), "sketch")
     worded = signed.df.where("digest is not null")

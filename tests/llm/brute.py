@@ -102,3 +102,62 @@ def levenshtein_at_most(a: str, b: str, k: int) -> bool:
         if min(row) > k:
             return False
     return row[-1] <= k
+
+
+def kept(texts, labels, failed):
+    """{doc_id: verdict} of the likelihood ratio over hashed byte trigrams, counted one by one. All labelled documents are in the sample."""
+    from collections import Counter
+    from math import log
+
+    def grams(t):
+        b = (t or "").encode()
+        return [(((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 2654435761) & 0xFFFFFFFF) >> 16 for i in range(len(b) - 2)]
+
+    own = {d: grams(t) for d, t in texts.items()}
+    target = Counter(g for d, x in own.items() if labels.get(d) == 1 and texts[d] is not None for g in x)
+    raw = Counter(g for x in own.values() for g in x)
+    nt, nr, cells = sum(target.values()), sum(raw.values()), 1 << 16
+    if not nt:
+        return {d: not failed[d] for d in texts}
+    ratio = {g: log((target[g] + 0.5) / (nt + 0.5 * cells)) - log((n + 0.5) / (nr + 0.5 * cells)) for g, n in raw.items()}
+    score = {d: sum(ratio[g] for g in x) / len(x) if x else 0.0 for d, x in own.items()}
+    good, bad = (sorted(score[d] for d in texts if labels.get(d) == q and texts[d] is not None and not failed[d]) for q in (1, 0))
+    top = good[int(0.001 * len(good))] if good else float("-inf")
+    below = [x for x in bad if x < top]
+    cut = float("-inf") if not good else (below[-1] + top) / 2 if below else top - abs(top) - 0.05
+    return {d: not failed[d] and score[d] >= cut for d in texts}
+
+
+def license_labels(text):
+    """(labels, score) by every rule on every text that holds its keyword, and pairwise suppression."""
+    from lodestrand.llm import licenses
+
+    line = f" {' '.join(x.translate(UPPER) for x in re.findall(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', (text or '').translate(UPPER)))} "
+    hits = [] if not re.search(licenses._GATE, text or "") else [
+        (m.start(), m.start() + len(m[0]), priority, order, label)
+        for order, (label, priority, keyword, pattern) in enumerate(licenses.RULES) if f" {keyword} " in line
+        for m in re.finditer(f" (?:{pattern})(?= )", line)
+    ]
+    left = [h for h in hits if not any(g is not h and g[0] <= h[0] and h[1] <= g[1] and g[2] >= h[2] and (g[:3] != h[:3] or g[3] < h[3]) for g in hits)]
+    base = {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in line}
+    top = max([h[2] for h in left] + [3] * bool(base), default=0)
+    return ",".join(sorted(base | {h[4] for h in left})), round(top / max(p for _, p, _, _ in licenses.RULES), 9)
+
+
+def boxes(data):
+    """{kind: bodies} of all boxes of an ISO media file, nested ones too."""
+    out = {}
+
+    def walk(part):
+        while len(part) >= 8:
+            size, kind, head = int.from_bytes(part[:4]), part[4:8].decode("latin-1"), 8
+            if size == 1:
+                size, head = int.from_bytes(part[8:16]), 16
+            size = size or len(part)
+            out.setdefault(kind, []).append(part[head:size])
+            if kind in ("moov", "trak", "mdia", "minf", "stbl"):
+                walk(part[head:size])
+            part = part[size:]
+
+    walk(data)
+    return out

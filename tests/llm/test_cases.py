@@ -256,3 +256,40 @@ def test_slices_hold_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(["x" * 1_000_000] * 50)], ["i", "text"])
     got = list(common.slices(iter([batch])))
     assert [i for b in got for i in b.column("i").to_pylist()] == list(range(50)) and len(got) > 5
+
+
+def wordings(pattern):
+    """Every text that a pattern without long repeats matches: optional parts with and without, each alternative, gaps as one blank."""
+    from re import _constants as C
+    from re import _parser as P
+
+    def all_of(tokens):
+        out = [""]
+        for kind, value in tokens:
+            if kind is C.LITERAL:
+                more = [chr(value)]
+            elif kind is C.IN:
+                more = [chr(x) if k is C.LITERAL else chr(x[0]) for k, x in value]
+            elif kind is C.ANY:
+                more = [" "]
+            elif kind is C.SUBPATTERN:
+                more = all_of(value[3])
+            elif kind is C.BRANCH:
+                more = [x for branch in value[1] for x in all_of(branch)]
+            elif kind in (C.MAX_REPEAT, C.MIN_REPEAT):
+                least, most, inner = value
+                more = ([""] if least == 0 else []) + (all_of(inner) if most else [])
+            else:
+                raise ValueError(kind)
+            out = [a + b for a in out for b in more]
+        return out
+
+    return all_of(P.parse(pattern))
+
+
+def test_every_wording_passes_the_gate_of_its_rule():
+    """The keyword of a rule, and a word that opens the scan, stand in every text that the rule's pattern matches."""
+    import re
+
+    missed = [(label, keyword, x) for label, _, keyword, pattern in licenses.RULES for x in wordings(pattern) if keyword != "deal" and f" {keyword} " not in " ".join(["", *x.split(), ""]) or not re.search(licenses._GATE, x)]
+    assert not missed, missed

@@ -13,7 +13,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 import brute
 
-from lodestrand.llm import queries
+from lodestrand.llm import media, queries
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +41,7 @@ def test_op2(spark, sf, docs):
     got = by_id(queries.op2_licenses(spark, sf))
     assert got.keys() == docs.keys()
     for d, r in got.items():
+        assert (r.labels, round(r.score, 9)) == brute.license_labels(docs[d].text)
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.licenses(docs[d].text)
         assert 0 <= r.score <= 1
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
@@ -103,6 +104,8 @@ def test_op6(spark, sf, docs):
         g = got[d]
         assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words, g.base_failed) == brute.quality(r.text)
         assert not (g.base_failed and g.kept)
+    kept = brute.kept({d: r.text for d, r in docs.items()}, labels, {d: g.base_failed for d, g in got.items()})
+    assert {d: g.kept for d, g in got.items()} == kept
     judged = [(g.kept, labels[d]) for d, g in got.items() if labels.get(d) is not None and not g.base_failed]
     good, bad = [k for k, q in judged if q == 1], [k for k, q in judged if q == 0]
     assert np.mean(good) >= 0.99
@@ -117,6 +120,21 @@ def test_op8(spark, sf, docs):
         g = got[d]
         assert (g.n_bytes, g.payload_bytes, g.payload_sha256, g.tail_crc32) == (len(data), len(payload), sha256(payload).hexdigest(), crc32(payload[-16:]))
         assert g.media_bytes > g.payload_bytes
+    # the files themselves, by a reader of their own: one track of 8-bit samples whose chunks are the payload
+    for r in media.to_containers(spark.read.parquet(f"{sf}/documents.parquet")).collect():
+        data = (docs[r.doc_id].text or "").encode()
+        payload = data + b" " * (-len(data) % 192 or (0 if data else 192))
+        file = bytes(r.container)
+        assert (len(file), sha256(file).hexdigest()) == (got[r.doc_id].media_bytes, got[r.doc_id].media_sha256)
+        boxes = brute.boxes(file)
+        (sizes,), (chunks,), (spans,) = (boxes[k] for k in ("stsz", "stco" if "stco" in boxes else "co64", "stsc"))
+        wide = 4 if "stco" in boxes else 8
+        at = [int.from_bytes(chunks[8 + wide * i : 8 + wide * (i + 1)]) for i in range(int.from_bytes(chunks[4:8]))]
+        size, n = int.from_bytes(sizes[4:8]), int.from_bytes(sizes[8:12])
+        assert size * n == len(payload)
+        runs = [tuple(int.from_bytes(spans[8 + 12 * i + 4 * j : 12 + 12 * i + 4 * j]) for j in range(2)) for i in range(int.from_bytes(spans[4:8]))]
+        per = [next(k for f, k in reversed(runs) if f <= i) for i in range(1, len(at) + 1)]
+        assert b"".join(file[a : a + k * size] for a, k in zip(at, per, strict=True)) == payload
     same: dict = {}
     for d, r in docs.items():
         same.setdefault(r.text, set()).add((got[d].media_sha256, got[d].feature, got[d].media_bytes))
