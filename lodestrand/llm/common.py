@@ -20,7 +20,7 @@ _OWN: dict[str, str] = {}
 #: Rows of an Arrow batch at most while a table is written: a row is a document.
 BATCH_ROWS = 2000
 #: Bytes of text that the Python side of an operator holds decoded at once.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -35,8 +35,18 @@ def scratch_root(spark: SparkSession) -> str:
     return _OWN[spark.sparkContext.applicationId]
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of jobs that are over: Spark deletes them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Stored:
-    """A table written once into the shared folder. ``df`` reads it; ``drop()`` frees its space."""
+    """A table written once into the shared folder. ``df`` reads it; ``drop()`` frees its space.
+
+    What the job has shuffled is not needed any more and goes at once: the steps of an operator are many, and their
+    shuffle files would add up to several times the input.
+    """
 
     def __init__(self, df: DataFrame, tag: str):
         self.spark = df.sparkSession
@@ -48,6 +58,7 @@ class Stored:
             df.write.parquet(self.path)
         finally:
             conf.set(rows, before)
+        reclaim(self.spark)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def _files(self):
@@ -72,12 +83,6 @@ def small(table: Stored) -> DataFrame:
     return F.broadcast(table.df) if table.bytes() <= SMALL_BYTES else table.df
 
 
-def reclaim(spark: SparkSession) -> None:
-    """Lets go of the shuffle files of jobs that are over: Spark deletes them when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def stored(df: DataFrame, tag: str) -> DataFrame:
     return Stored(df, tag).df
 
