@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schema import DETAIL, SELECTORS, SOURCE
+from .schema import DETAIL, SOURCE
 
 #: Passes of a run: type, format and whether that pass looks at the hours of a source.
 PASSES = [("notizia", "rss", False), ("evento", "html", False), ("evento", "json", True), ("istituzionale", "html", False)]
@@ -44,12 +44,6 @@ def compatible(kind: str, form: str) -> bool:
     return kind in TYPES and form in FORMATS and (form != "json" or kind == "evento") and (kind != "istituzionale" or form == "html")
 
 
-def card_selectors(config: Column) -> Column:
-    """The selectors of an HTML source; broken JSON, or a missing item or title selector, is an error."""
-    s = F.from_json(config, SELECTORS, {"mode": "FAILFAST"})
-    return F.when(s["item"].isNull() | s["titolo"].isNull(), F.raise_error(F.lit("selectors: item and titolo are required"))).otherwise(s)
-
-
 def detail_config(config: Column) -> Column:
     """The detail-page settings, max 8 unless set; null without a container."""
     d = F.from_json(config, DETAIL)
