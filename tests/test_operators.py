@@ -4,11 +4,13 @@ import datetime as dt
 import json
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from lodestrand.operators import archive_runs, dedup, enrich, numbering, passages, sinks
-from lodestrand.plans import runner
+from lodestrand.plans import queries, runner
+from lodestrand.plans.registry import ORACLE
 from lodestrand.sources import archive, catalogue
 from lodestrand.streaming import upsert
 
@@ -133,6 +135,16 @@ def test_act_without_text_has_its_title(spark):
     assert got["u1"] == "Legge n.1" and got["u2"] == "Legge n.2" and got["u3"].startswith("testo lungo")
 
 
+def test_single_short_annex_is_a_passage(spark, tmp_path):
+    """A customer with one order: an annex of fewer than 80 characters, as the SQL of annex_passages has it."""
+    path = str(tmp_path / "orders.parquet")
+    spark.createDataFrame([(1, 7, 10480), (2, 8, 3), (3, 8, 4)], "x long, o_custkey long, o_orderkey long").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view orders as select * from read_parquet('{path}/*.parquet')")
+    want = sorted(con.execute(ORACLE["annex_passages"]).fetchall())
+    assert sorted(map(tuple, queries.queries()["annex_passages"](spark, str(tmp_path)).collect())) == want and len(want) == 3
+
+
 def test_upserts(spark, tmp_path):
     t = sinks.KeyedTable(spark, str(tmp_path / "t"), "dedup_key string, v int")
     rows = lambda *x: spark.createDataFrame(x, "dedup_key string, v int")
