@@ -15,11 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, parts, slices, utf8
+from .common import Stored, parts, slices, small, utf8
 
 BUCKETS = 1 << 16
-#: Labelled documents of either class, least hash of doc_id first, that give the target counts and the threshold.
-LABELLED = 4000
 #: At most this share of the trusted documents may fall below the threshold.
 TRUSTED_LOSS = 0.001
 SMOOTH = 0.5
@@ -111,18 +109,16 @@ def threshold(good: np.ndarray, bad: np.ndarray, loss: float = TRUSTED_LOSS) ->
     return float((below[-1] + top) / 2) if len(below) else float(top - abs(top) - 0.05)
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
-    """Counts over all documents; target counts and threshold from at most ``labelled`` documents of either class.
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Counts over all documents; target counts and threshold from all labelled documents.
 
     Labels that are null or have no document count for nothing. Without trusted documents the model keeps everything.
     """
     each = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").dropDuplicates(["doc_id"])
-    order = F.xxhash64("doc_id")
-    ids = Stored(each.where("quality = 1").orderBy(order, "doc_id").limit(labelled).unionByName(each.where("quality = 0").orderBy(order, "doc_id").limit(labelled)), "labelled")
+    ids = Stored(each, "labelled")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    # the ids number at most 2 * labelled, so the broadcast is bounded
-    sample = Stored(texts.join(F.broadcast(ids.df), "doc_id").select("text", "quality"), "labelled-texts")
-    target = _counts(sample.df.where("quality = 1"))
+    sample = texts.join(small(ids), "doc_id").select("text", "quality")
+    target = _counts(sample.where("quality = 1"))
     if not target.sum():
         return Model(None, -np.inf)
     raw = _counts(docs)
@@ -134,13 +130,23 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
             s = [(model.score(t), base_failed(*base_counts(t))) for t in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array([x for x, _ in s], pa.float64()), pa.array([f for _, f in s], pa.bool_())], ["quality", "score", "failed"])
 
-    got = sample.df.mapInArrow(scored, "quality int, score double, failed boolean").where("not failed").toArrow()  # at most 2 * labelled rows
-    sample.drop(), ids.drop()
-    kind, value = got.column("quality").to_numpy(), got.column("score").to_numpy()
-    model.threshold = threshold(value[kind == 1], value[kind == 0])
+    scores = Stored(sample.mapInArrow(scored, "quality int, score double, failed boolean").where("not failed").select("quality", "score"), "labelled-scores")
+    model.threshold = cut(scores.df)
+    scores.drop(), ids.drop()
     return model
 
 
+def cut(scores: DataFrame, loss: float = TRUSTED_LOSS) -> float:
+    """threshold() of a table (quality, score); a row each comes to the driver."""
+    good = scores.where("quality = 1")
+    n = good.count()
+    if not n:
+        return -np.inf
+    top = good.orderBy("score").limit(int(loss * n) + 1).agg(F.max("score")).first()[0]
+    below = scores.where((F.col("quality") == 0) & (F.col("score") < top)).agg(F.max("score")).first()[0]
+    return float((below + top) / 2) if below is not None else float(top - abs(top) - 0.05)
+
+
 def base_failed(n_words: int, word_chars: int, n_symbols: int, n_dup_lines: int, n_repeat_words: int) -> bool:
     return n_words < 50 or 100 * n_repeat_words > 50 * n_words
 

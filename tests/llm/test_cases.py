@@ -87,6 +87,20 @@ def test_quality(odd, spark):
     assert quality.fit(odd, labels.limit(0)).ratio is None
 
 
+def test_quality_learns_from_every_label(spark):
+    """More than 4000 labelled documents of either class: counts and threshold are those of all of them."""
+    text = "array_join(transform(sequence(1, 60), i -> concat(substr('abcdefghijklmnop', 1 + (id * 7 + i * i) % 14, 3), if(id % 2 = 0, 'a', 'z'), (id * i) % 97)), ' ')"
+    docs = spark.range(9400).selectExpr("id as doc_id", f"{text} as text").repartition(8)
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality").where("doc_id < 9200")
+    texts = {r.doc_id: r.text.encode() for r in docs.collect()}
+    raw, target = (sum(np.bincount(quality.features(t), minlength=quality.BUCKETS) for d, t in texts.items() if keep(d)) for keep in (lambda d: True, lambda d: d % 2 and d < 9200))
+    p, q = ((x + quality.SMOOTH) / (x.sum() + quality.SMOOTH * quality.BUCKETS) for x in (target, raw))
+    want = quality.Model(np.log(p / q), 0.0)
+    good, bad = (np.array([want.score(t) for d, t in texts.items() if d < 9200 and d % 2 == k and not quality.base_failed(*quality.base_counts(t))]) for k in (1, 0))
+    got = quality.fit(docs, labels)
+    assert (got.ratio == want.ratio).all() and got.threshold == quality.threshold(good, bad) and len(good) > 4000
+
+
 def test_byte_bpe(odd):
     import public_tokenizers as P
     import tiktoken
