@@ -228,6 +228,31 @@ def test_windows_do_not_see_across_texts():
     assert np.allclose(both[:20], m.score(changed, np.array([0]))[:20], atol=1e-5)
 
 
+def test_every_training_id_trains(spark, monkeypatch):
+    """Short texts, nulls, rows without an id, more documents than any sample: each id and each end is a target once, over rounds and tasks."""
+    docs = spark.range(3000).selectExpr("if(id % 500 = 0, null, id) as doc_id", "if(id % 50 = 3, null, concat('una riga ', id, repeat(' parola', cast(id % 9 as int)))) as text").repartition(4)
+    path, pattern = lm.vocabulary(), lm.default_pattern()
+    counts = lm.id_counts(lm.word_counts(docs, path, pattern), path, pattern)
+    counts[lm.SPACE, lm.END_ID] = sum(not lm.held_out(r.doc_id) for r in docs.collect())
+    ids = int(counts.sum())
+    monkeypatch.setattr(lm, "LEAST_IDS", 1)
+    for per_task in (1 << 22, ids // 4):
+        monkeypatch.setattr(lm, "PER_TASK", per_task)
+        model = lm.Attention(counts)
+        before = model.p["E"].copy()
+        assert lm.learn(docs, model, ids, path, pattern) == ids and (model.p["E"] != before).any()
+
+
+def test_blocks_train_as_they_score():
+    """The loss of training is that of scoring, text ends within windows included; nothing is seen across them."""
+    m = lm.Attention(np.ones((lm.BYTES, lm.END_ID + 1)))
+    r = np.random.default_rng(3)
+    texts = [np.append(r.integers(1, lm.CLASSES, n), 0).astype(np.uint8) for n in (5, 0, 70, 33)]
+    flat, starts = np.concatenate(texts), np.cumsum([0, *map(len, texts)])[:-1]
+    value, _ = m.loss(np.concatenate([np.zeros(lm.CONTEXT + 1, np.uint8), flat])[None], lm.CONTEXT)
+    assert np.isclose(value, -m.compiled().score(flat, starts).mean() * np.log(10), atol=1e-5)
+
+
 def test_gradients():
     counts = np.ones((lm.BYTES, lm.END_ID + 1))
     m = lm.Attention(counts)
