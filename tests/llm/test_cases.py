@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 import brute
 
-from lodestrand.llm import bpe, common, langid, licenses, lm, media, packing, quality, secrets
+from lodestrand.llm import bpe, common, langid, licenses, links, lm, media, packing, quality, secrets
 
 KEY = base64.b64encode(random.Random(8).randbytes(60)).decode().rstrip("=")
 TEXTS = [
@@ -291,6 +291,29 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long"), "a", "b", "long").count() == 0
 
 
+def test_small_and_large_components_agree(spark, monkeypatch):
+    """Edges of one task and edges by rounds: chains, a star, loops and repeats have the same components."""
+    edges = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(100, 100 + i) for i in range(30)] + [(7, 7), (3, 2), (129, 45), (45, 44), (None, 3)]
+    df, want = spark.createDataFrame(edges, "a long, b long"), None
+    for most in (common.SMALL_BYTES, -1):
+        monkeypatch.setattr(common, "SMALL_BYTES", most)
+        got = {r.node: r.component for r in common.components(df, "a", "b", "long").collect()}
+        want = want or got
+        assert got == want and got[129] == got[100] == 44 and got[9] == 0 and got[39] == 30
+
+
+def test_each_end_of_pairs_moves_once(spark):
+    """All pairs with both texts, a leader of many among them; texts are shuffled at most once for the pair's first and second end."""
+    data = spark.range(1000).selectExpr("id as node", "concat('t', id) as norm")
+    pairs = spark.range(1, 1000).selectExpr("0L as a", "id as b").unionByName(spark.range(1, 500).selectExpr("id as a", "id + 500 as b"))
+    got = links.attach(pairs, data, ["norm"])
+    assert sorted(map(tuple, got.select("a", "b", "a_norm", "b_norm").collect())) == sorted((r.a, r.b, f"t{r.a}", f"t{r.b}") for r in pairs.collect())
+    # from the top: the second end's data joined to pairs with the first end's, and nothing between the two
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    above = [x for x in plan[: next(i for i, x in enumerate(plan) if "AS a_norm" in x)] if "Join" in x]
+    assert all("Inner" in x for x in above[:2]), plan
+
+
 def test_slices_hold_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(["x" * 1_000_000] * 50)], ["i", "text"])
     got = list(common.slices(iter([batch])))
