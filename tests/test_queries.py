@@ -25,3 +25,4 @@ def test_entities_cut_off(spark, tmp_path):
     html = "'<article><h1>' || t || '</h1><p>' || t || ' e un testo di pagina abbastanza lungo per contare &copy</p></article>'"
     pages = f"SELECT row_number() OVER () AS page_id, 'https://x.example/' || t AS url, {html} AS html FROM (SELECT {titles})"
     agrees(spark, tmp_path, "html_items", pages=pages)
+    agrees(spark, tmp_path, "institutional_body", pages=pages)
