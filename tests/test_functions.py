@@ -1,6 +1,7 @@
 """Column functions: dates, titles, legal keys and citations, text."""
 
 import datetime as dt
+import random
 
 import pytest
 from helpers import values
@@ -121,6 +122,15 @@ def test_citations(spark):
     assert [(c.tipo, c.anno, c.numero, c.data) for c in each] == [("Legge", 2001, 5, None), ("Legge", 2001, 6, dt.date(2001, 5, 1))]
 
 
+def test_cited_keys_are_those_of_the_citations(spark):
+    r = random.Random(5)
+    bits = ["Legge", "DECRETO", "-", "legge di Revisione Costituzionale", "Legge Qualificata", "Regolamento", "n.", "n° ", "numero", "N.", "\xa0", "12", "31", "2001", "0012", "99999999999", "2147483648", "marzo", "MAGGIO", "brumaio", "/", ",", "º", "\U0001f600", "ſ", "٣", "13 maggio 2001 n. 4", "n.8/1999", "12 marzo 2001, numero 7"]
+    titles = ["".join(r.choice(bits) + r.choice(["  ", " ", ""]) for _ in range(r.randint(1, 14))) for _ in range(4000)]
+    key = lambda c: legal.act_key(c["tipo"], c["anno"], c["numero"])
+    want = values(spark, lambda a: F.array_distinct(F.filter(F.transform(legal.citations(a), key), lambda k: k.isNotNull() & (k != "o:2001/4"))), *titles)
+    assert [legal.keys_of(t, "o:2001/4") for t in titles] == want and sum(map(len, want)) > 100
+
+
 def test_clean_text(spark):
     raw = "a  b  \r\n- 12 -\r\n\r\n\r\n\r\nc\f3\nd 4\n"
     assert values(spark, legal.clean_text, raw, "", None) == ["a b\n\nc\nd 4", "", None]

@@ -26,3 +26,10 @@ def test_contract():
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["titolo", "estratto", "url", "data", "fonte_id", "dedup_key"]
+
+
+def test_titles_are_searched_once(spark, sf):
+    # no second evaluation for a filter that the optimizer infers, no chain of higher-order functions over each title
+    for name in ("citations", "citation_graph", "recalled_by"):
+        text = plan(queries.queries()[name](spark, sf))
+        assert text.count("ArrowEvalPython [") == 1 and "regexp_extract_all" not in text, name
