@@ -10,6 +10,9 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 _SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:")
+#: A path from the root without dot segments, and an address whose host it can follow: joined without taking both apart.
+_ROOTED = re.compile(r"(?:/[A-Za-z0-9_~-]+(?:\.[A-Za-z0-9_~-]+)*)+")
+_HOST = re.compile(r"(https?://[A-Za-z0-9.-]+)(?:/|\Z)")
 
 
 def parsable(raw: str) -> bool:
@@ -26,6 +29,8 @@ def resolve(raw: str | None, base: str | None, strict: bool = False) -> str | No
     """An absolute link. One with a scheme stays as it is. Without a base, or if it can't be parsed: unchanged, or null if ``strict``."""
     if raw is None:
         return None
+    if base and _ROOTED.fullmatch(raw) and (host := _HOST.match(base)):
+        return host[1] + raw
     if not parsable(raw):
         return None if strict else raw
     if _SCHEME.match(raw):

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import htmltree
+from ..functions.batches import mapped
 from ..functions.dates import parse_date
 from ..functions.urls import resolve
 from .schema import RAW_COLUMNS
@@ -53,19 +54,16 @@ def cards(html: str | None, config: str, base: str | None) -> list[dict]:
     return out
 
 
-def _udf():
+def parse(pages: DataFrame, html: str = "html", selettori: str = "selettori", base: str = "base") -> DataFrame:
+    """Documents of list pages; columns fonte_id, html, selettori (JSON), base. Cards without a title go; a missing link is an empty url."""
+
     @F.arrow_udf("array<struct<titolo:string,url:string,testo:string,immagine:string,giorno:string,luogo:string>>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for html, config, base in batches:
-            rows = zip(html.to_pylist(), config.to_pylist(), base.to_pylist(), strict=True)
-            yield pa.array([cards(h, c, b) for h, c, b in rows], pa.list_(pa.struct(_CARD)))
-
-    return run
-
+        yield from mapped(cards, pa.list_(pa.struct(_CARD)))(batches)
 
-def parse(pages: DataFrame, html: str = "html", selettori: str = "selettori", base: str = "base") -> DataFrame:
-    """Documents of list pages; columns fonte_id, html, selettori (JSON), base. Cards without a title go; a missing link is an empty url."""
-    listed = pages.select("fonte_id", F.posexplode(_udf()(F.col(html), F.col(selettori), F.col(base))).alias("pos", "c"))
+    # not deterministic for the optimizer, or else it parses every page again for a filter on the array's size
+    found = pages.select("fonte_id", run.asNondeterministic()(F.col(html), F.col(selettori), F.col(base)).alias("cards"))
+    listed = found.select("fonte_id", F.posexplode("cards").alias("pos", "c"))
     return listed.select("fonte_id", F.col("pos").cast("long").alias("pos"), "c.titolo", "c.url", "c.testo", "c.immagine", parse_date(F.col("c.giorno")).alias("data"), "c.luogo").select(RAW_COLUMNS)
 
 
@@ -74,22 +72,21 @@ def texts(html: Column) -> Column:
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
-            yield pa.array([htmltree.fragment_text(x) for x in column.to_pylist()], pa.string())
+        yield from mapped(htmltree.fragment_text, pa.string())(batches)
 
     return run(html)
 
 
+def _container(html: str | None, selector: str | None) -> str | None:
+    node = htmltree.parse(html).one(selector) if html and selector else None
+    return (htmltree.squeezed(node.text) or None) if node is not None else None
+
+
 def container_text(html: Column, selector: Column) -> Column:
     """The squeezed text of the first element that a selector finds; null if there is none or it is blank."""
 
     @F.arrow_udf("string")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for pages, css in batches:
-            out = []
-            for h, s in zip(pages.to_pylist(), css.to_pylist(), strict=True):
-                node = htmltree.parse(h).one(s) if h and s else None
-                out.append((htmltree.squeezed(node.text) or None) if node is not None else None)
-            yield pa.array(out, pa.string())
+        yield from mapped(_container, pa.string())(batches)
 
     return run(html, selector)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import htmltree
+from ..functions.batches import mapped
 from ..functions.dates import iso_instant, parse_date
 from ..functions.text import utf16_head, utf16_length
 from ..functions.urls import resolve
@@ -52,8 +53,7 @@ def detail_links(indexes: DataFrame, selector: str, most: int = MOST_PAGES, html
 
     @F.arrow_udf("array<string>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for pages, bases in batches:
-            yield pa.array([links(h, selector, b)[:most] for h, b in zip(pages.to_pylist(), bases.to_pylist(), strict=True)], pa.list_(pa.string()))
+        yield from mapped(lambda h, b: links(h, selector, b)[:most], pa.list_(pa.string()))(batches)
 
     return indexes.select("fonte_id", F.posexplode(run(F.col(html), F.col(base))).alias("pos", "url"))
 
@@ -64,8 +64,7 @@ def documents(pages: DataFrame, title: str | None = None, body: str | None = Non
 
     @F.arrow_udf("struct<titolo:string,contenuto:string,giorno:string>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
-            yield pa.array([page(h, title, body, day) for h in column.to_pylist()], kind)
+        yield from mapped(lambda h: page(h, title, body, day), kind)(batches)
 
     # not deterministic for the optimizer, or else it parses every page again for the filter below
     read = pages.select("fonte_id", "url", run.asNondeterministic()(F.col(html)).alias("p"))

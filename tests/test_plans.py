@@ -33,3 +33,9 @@ def test_titles_are_searched_once(spark, sf):
     for name in ("citations", "citation_graph", "recalled_by"):
         text = plan(queries.queries()[name](spark, sf))
         assert text.count("ArrowEvalPython [") == 1 and "regexp_extract_all" not in text, name
+
+
+def test_pages_are_parsed_once(spark, sf):
+    # no second evaluation for a filter on the array's size, no worker for each column
+    for name in ("notices_parse", "notices_limit", "archive_listing", "archive_category", "archive_index", "html_items", "html_attr", "mixed_decode"):
+        assert plan(queries.queries()[name](spark, sf)).count("ArrowEvalPython [") == 1, name
