@@ -53,6 +53,32 @@ def test_keep_first_agrees_with_a_walk(spark):
     assert kept(dedup.keep_first(docs(spark, *titles))) == held
 
 
+def test_links_of_long_titles_are_those_of_all_pairs(spark):
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    titles = []
+    for i in range(90):
+        own = r.sample(words, r.choice([1, 2, 3, 50, 100, 200]))
+        titles += [" ".join(own), " ".join(own[: max(1, round(len(own) * r.uniform(0.75, 1)))]), " ".join(own[: round(len(own) * 0.9)] + r.sample(words, len(own) // 12))]
+    titles = list(dict.fromkeys(titles))
+    both = spark.createDataFrame([(1, i, t, DAY) for i, t in enumerate(titles)] + [(2, i, t, DAY) for i, t in enumerate(titles[::3])], "fonte_id int, pos long, titolo string, data timestamp")
+    got = sorted((x.fonte_id, x.a_pos, x.b_pos) for x in dedup.links(dedup.titles(both)).collect())
+    sets = [set(t.split()) for t in titles]
+    alike = lambda at: [(i, j) for i in range(len(at)) for j in range(i + 1, len(at)) if dedup._alike(titles[at[i]], sets[at[i]], titles[at[j]], sets[at[j]], 0.82)]
+    want = [(1, i, j) for i, j in alike(range(len(titles)))] + [(2, i, j) for i, j in alike(range(0, len(titles), 3))]
+    assert got == sorted(want) and len(want) > 100
+
+
+def test_words_of_titles_are_not_all_shuffled(spark):
+    # a title of 1000 words is looked for by its 181 rarest
+    df = docs(spark, *(" ".join(f"x{i}w{j}" for j in range(1000)) for i in range(4)))
+    each = dedup.numbered(dedup.titles(df)).df
+    words = dedup._words(each)
+    places = dedup._places(words, dedup._rarity(words), 0.82)
+    assert places.count() == 4 * 181 and places.where("first").count() == 4
+    assert dedup._members(words, places.where("first")).count() < 40
+
+
 def test_keep_best_replaces_in_place(spark):
     longer = lambda a, b: b if len(b["titolo"]) > len(a["titolo"]) else a
     got = dedup.keep_best(docs(spark, "uno due tre", "altro titolo", "uno due tre quattro", "tre quattro cinque"), longer).orderBy("pos").collect()
